@@ -65,7 +65,7 @@ def main() -> None:
         try:
             names, got = spark_rows(entry.queries()[name](spark, sf_dir))
         except Exception as error:  # report and go on with the next query
-            print(f"{name:32s} FAILED {str(error)[:1500]}", flush=True)
+            print(f"{name:32s} FAILED {str(error)[:400]}", flush=True)
             bad += 1
             continue
         took = time.time() - started

@@ -15,6 +15,14 @@ def _aliased(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
     return left.alias("l"), right.alias("r")
 
 
+def _windowed(df: DataFrame, ts: str, size: str) -> DataFrame:
+    assigned = timewin.assign(df, ts, size)
+    if not df.isStreaming:
+        return assigned
+    # a stream carries one event-time column; from here on that is the window, and the time itself is plain data
+    return assigned.withColumn(ts, F.col(ts) + timewin.interval("0 seconds"))
+
+
 def window_join(
     left: DataFrame,
     right: DataFrame,
@@ -30,8 +38,8 @@ def window_join(
     In a left join, ``zero_time`` names right-hand columns that read 0 instead of null for unmatched rows. On
     streams both inputs need watermarks.
     """
-    a = timewin.assign(left, left_ts, size)
-    b = timewin.assign(right, right_ts, size)
+    a = _windowed(left, left_ts, size)
+    b = _windowed(right, right_ts, size)
     joined = a.join(b, [key, "w"], how)
     columns = [c for c in [*left.columns, *right.columns] if c != key]
     values = [F.coalesce(F.col(c), F.lit(0)).alias(c) if c in zero_time else F.col(c) for c in columns]

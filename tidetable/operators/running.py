@@ -13,20 +13,41 @@ from tidetable.functions import timewin
 from tidetable.operators import ordered, windowed
 from tidetable.operators.ordered import BLOCK_WIDTH, HOT_ROWS
 
+# an order number in front of every arrival number
+BEFORE_ALL = -(1 << 62)
+
 
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
-    value: str | Column,
+    value: str,
     seq: str,
     into: str = "total",
+    opening: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     width: int = BLOCK_WIDTH,
 ) -> DataFrame:
-    """Every record with its key's total so far."""
-    amount = F.coalesce(F.col(value) if isinstance(value, str) else value, F.lit(0))
+    """Every record with its key's total so far.
+
+    ``opening`` has columns ``keys, into``: the totals the keys start from, for input that continues earlier input.
+    """
+    steps = df.withColumn("__amount", F.coalesce(F.col(value), F.lit(0))).withColumn("__record", F.lit(True))
+    if opening is not None:
+        before = opening.select(*keys, F.lit(BEFORE_ALL).alias(seq), F.col(into).alias("__amount"))
+        steps = steps.unionByName(before, allowMissingColumns=True)
     block = ordered.number_block(seq, width)
-    return ordered.running_sums(df, keys, seq, {into: amount}, block, hot_rows=hot_rows)
+    run = ordered.running_sums(steps, keys, seq, {into: F.col("__amount")}, block, hot_rows=hot_rows)
+    return run.where("__record").select(*df.columns, into)
+
+
+def closing_totals(
+    df: DataFrame, keys: Sequence[str], value: str, into: str = "total", opening: DataFrame | None = None
+) -> DataFrame:
+    """Totals per key after all records: the ``opening`` of the input that follows."""
+    amounts = df.select(*keys, F.coalesce(F.col(value), F.lit(0)).alias(into))
+    if opening is not None:
+        amounts = amounts.unionByName(opening.select(*keys, into))
+    return amounts.groupBy(*keys).agg(F.sum(into).alias(into))
 
 
 def carried_total(

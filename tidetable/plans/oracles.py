@@ -178,6 +178,17 @@ SELECT word, slice - INTERVAL 1 MINUTE * hop.i AS w_start, slice - INTERVAL 1 MI
 FROM slices, generate_series(0, 4) AS hop(i) GROUP BY ALL
 """
 
+WORD_COUNT_TUMBLE = f"""
+WITH cut AS (
+  SELECT doc_id, rtrim(text, {SPACES}) AS kept, text FROM documents
+), words AS (
+  SELECT doc_id - doc_id % 300 AS s, unnest(string_split(translate(kept, {SPACES}, '      '), ' ')) AS word
+  FROM cut WHERE NOT (kept = '' AND text <> '')
+)
+SELECT word, make_timestamp(s * 1000000) AS w_start, make_timestamp((s + 300) * 1000000) AS w_end, count(*) AS n
+FROM words GROUP BY ALL
+"""
+
 SIDES = f"""
 clicks AS (
   SELECT user_id, event_id, ts AS click_ts, {tumble('ts', DAY)} AS w_start FROM events WHERE event_type = 'click'
@@ -269,6 +280,23 @@ FROM (SELECT dt, event_id, lag({'pv': pv, 'uv': uv}) OVER (PARTITION BY dt ORDER
 WHERE old IS NOT NULL
 """
 
+JSON_TUMBLE = f"""
+SELECT CAST(user_id AS VARCHAR) AS id, {tumble('ts', DAY)} AS w_start, {tumble('ts', DAY)} + INTERVAL 1 DAY AS w_end,
+       count(*) AS n
+FROM events GROUP BY ALL
+"""
+
+SUM_TABLE = f"SELECT event_type, CAST(sum({CENTS}) AS BIGINT) AS total FROM events GROUP BY event_type"
+
+DIMENSION_JOIN = f"""
+SELECT o_orderkey, id, username, o_orderdate FROM orders JOIN ({DIMENSION}) ON o_custkey = id
+"""
+
+UNION_FILTER = """
+SELECT o_custkey, o_orderpriority, o_totalprice FROM orders
+WHERE o_orderstatus IN ('F', 'O') AND o_totalprice > 200000
+"""
+
 ORACLES = {
     "hot_items_topk": HOT_ITEMS,
     "hot_items_report": REPORT,
@@ -284,10 +312,7 @@ ORACLES = {
 SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 200000
 UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'O' AND o_totalprice < 100000
 """,
-    "union_then_filter": """
-SELECT o_custkey, o_orderpriority, o_totalprice FROM orders
-WHERE o_orderstatus IN ('F', 'O') AND o_totalprice > 200000
-""",
+    "union_then_filter": UNION_FILTER,
     "append_projection": "SELECT o_orderkey AS product_id, o_totalprice AS amount FROM orders",
     "typed_rows": "SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS username FROM customer",
     "pvuv_hourly": PVUV_HOURLY,
@@ -306,15 +331,13 @@ WHERE o_orderstatus IN ('F', 'O') AND o_totalprice > 200000
     "window_join_panes": JOIN_PANES,
     "window_left_join_panes": LEFT_JOIN_PANES,
     "interval_join": INTERVAL_JOIN,
-    "dimension_join_sql": f"""
-SELECT o_orderkey, id, username, o_orderdate FROM orders JOIN ({DIMENSION}) ON o_custkey = id
-""",
+    "dimension_join_sql": DIMENSION_JOIN,
     "dimension_join_where": f"""
 SELECT o_orderkey, o_custkey, username, o_orderdate FROM orders, ({DIMENSION}) WHERE o_custkey = id
 """,
     "sum_retract": SUM_RETRACT,
     "pvuv_retract": PVUV_RETRACT,
-    "apply_changelog": f"SELECT event_type, CAST(sum({CENTS}) AS BIGINT) AS total FROM events GROUP BY event_type",
+    "apply_changelog": SUM_TABLE,
     "payload_words": """
 SELECT event_type AS word, CAST(user_id AS INTEGER) AS frequency, event_id * 1000 AS timestamp FROM events
 """,
@@ -322,9 +345,27 @@ SELECT event_type AS word, CAST(user_id AS INTEGER) AS frequency, event_id * 100
 SELECT CAST(user_id AS VARCHAR) AS "userId", value AS price, event_id * 1000 AS timestamp FROM events
 """,
     "payload_totals": f"SELECT '(' || event_type || ',' || total || ')' AS value FROM ({CARRIED_TOTAL})",
-    "json_tumble": f"""
-SELECT CAST(user_id AS VARCHAR) AS id, {tumble('ts', DAY)} AS w_start, {tumble('ts', DAY)} + INTERVAL 1 DAY AS w_end,
-       count(*) AS n
-FROM events GROUP BY ALL
+    "json_tumble": JSON_TUMBLE,
+    "stream_hot_items": HOT_ITEMS,
+    "stream_hot_items_timer": f"""
+SELECT w_end, CAST(rank AS INTEGER) AS rank, item_id AS item, views AS n FROM ({HOT_ITEMS})
 """,
+    "stream_tumble_count": TUMBLE_COUNT,
+    "stream_tumble_refined": TUMBLE_COUNT,
+    "stream_hop_gapped": HOP_GAPPED,
+    "stream_json_tumble": JSON_TUMBLE,
+    "stream_region_pv": REGION_PV,
+    "stream_pvuv_tumble": PVUV_TUMBLE,
+    "stream_pvuv_hourly": PVUV_HOURLY,
+    "stream_window_avg": WINDOW_AVG,
+    "stream_avg_emit_on_change": AVG_ON_CHANGE,
+    "stream_running_total": RUNNING_TOTAL,
+    "stream_carried_total": CARRIED_TOTAL,
+    "stream_sum_retract": SUM_TABLE,
+    "stream_word_count": WORD_COUNT_TUMBLE,
+    "stream_window_inner_join": INNER_JOIN,
+    "stream_window_left_join": LEFT_JOIN,
+    "stream_interval_join": INTERVAL_JOIN,
+    "stream_dimension_join": DIMENSION_JOIN,
+    "stream_union_filter": UNION_FILTER,
 }

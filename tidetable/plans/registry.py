@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidetable.plans import batch, oracles
+from tidetable.plans import batch, oracles, streams
 
-QUERIES = {**batch.QUERIES}
+QUERIES = {**batch.QUERIES, **streams.QUERIES}
 ORACLES = dict(oracles.ORACLES)

@@ -54,14 +54,14 @@ def arriving_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "source", "text", arrival.alias("arrival"))
 
 
-def region_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with the region of their customer: an access log by region."""
+def region_orders(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """Orders (of the table or a stream) with the region of their customer: an access log by region."""
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     customers = table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    orders = table(spark, sf_dir, "orders") if orders is None else orders
     return (
-        table(spark, sf_dir, "orders")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .select(F.col("o_orderdate").alias("accessTime"), F.col("r_name").alias("region"))
     )
