@@ -1,6 +1,8 @@
 """Stateful processors for live streams, for per-key logic that Spark's own streaming operators cannot express.
 
-State lives in the state store and may expire after ``ttl_ms`` without an update. A processor walks through the rows
+State lives in the state store and may expire after ``ttl_ms`` without an update. Expiry runs on processing time, for
+which Spark keeps scheduling batches, so such a query must be a standing one (`run.continuous`): a drain would not end.
+A processor walks through the rows
 of a key one by one; only `CarriedTotal` and `EmitOnChange` sort, and their rows are the closed windows of one key, not
 its records.
 """
