@@ -156,7 +156,8 @@ def test_join_panes(records, frame, how):
 def test_hot_keys_leave_no_large_window_group(spark):
     """The widest window group stays within the block width even when one key holds all rows."""
     df = spark.range(10_000).select(F.lit("hot").alias("k"), F.col("id").alias("seq"), F.lit(1).alias("v"))
-    blocked = ordered._blocked(df, ["k"], ordered.number_block("seq", 256), hot_rows=1000)
+    blocked, hot = ordered._blocked(df, ["k"], ordered.number_block("seq", 256), hot_rows=1000)
+    assert hot.count() == 10_000
     assert blocked.groupBy("__key", "__block").count().agg(F.max("count")).first()[0] == 256
     total = running.running_total(df, ["k"], "v", "seq", hot_rows=1000, width=256)
     assert total.where("total <> seq + 1").count() == 0

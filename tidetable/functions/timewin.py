@@ -83,6 +83,12 @@ def assign(df: DataFrame, ts: str, size: str, slide: str | None = None, into: st
     return df.withColumn(into, window)
 
 
+def starts(ts: str, size: str, slide: str | None = None, into: str = "w_start") -> Column:
+    """Start of the window a time lies in, or one row per start with an overlapping ``slide``; for bounded input."""
+    window = F.window(ts, size, slide) if slide else F.window(ts, size)
+    return window["start"].alias(into)
+
+
 def bounds(size: str, slide: str | None = None, of: str = "w", start: str = "w_start", end: str = "w_end") -> list[Column]:
     """Start and end columns of an attached window."""
     w = F.col(of)

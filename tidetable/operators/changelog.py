@@ -59,6 +59,7 @@ def aggregate_changelog(
         peers=True,
         step_suffix="__step",
         hot_rows=hot_rows,
+        counted=df,
     ).where("__record = 1")
 
     def result(before: bool) -> list:

@@ -31,13 +31,16 @@ def time_block(ts: str, duration: str) -> Column:
     return F.window(ts, duration)["start"]
 
 
-def _blocked(df: DataFrame, keys: Sequence[str], block: Column, hot_rows: int) -> DataFrame:
-    keyed = df.select("*", F.struct(*keys).alias(_KEY))
-    hot = keyed.groupBy(_KEY).agg(F.count("*").alias("__n")).where(F.col("__n") > hot_rows).select(
-        F.col(_KEY).alias("__hot")
-    )
-    joined = keyed.join(F.broadcast(hot), F.col(_KEY) == F.col("__hot"), "left")
-    return joined.withColumn(_BLOCK, F.when(F.col("__hot").isNotNull(), block)).drop("__hot")
+def _blocked(
+    df: DataFrame, keys: Sequence[str], block: Column, hot_rows: int, counted: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """All rows with key and block (null for keys in one piece), and just the rows of the hot keys."""
+    key = F.struct(*keys).alias(_KEY)
+    sizes = (df if counted is None else counted).groupBy(key).agg(F.count("*").alias("__n"))
+    hot = F.broadcast(sizes.where(F.col("__n") > hot_rows).select(F.col(_KEY).alias("__hot")))
+    keyed, matches = df.select("*", key), F.col(_KEY) == F.col("__hot")
+    placed = keyed.join(hot, matches, "left").withColumn(_BLOCK, F.when(F.col("__hot").isNotNull(), block))
+    return placed.drop("__hot"), keyed.join(hot, matches).withColumn(_BLOCK, block).drop("__hot")
 
 
 def _with_carry(local: DataFrame, carry: DataFrame) -> DataFrame:
@@ -55,13 +58,15 @@ def running_sums(
     peers: bool = False,
     step_suffix: str | None = None,
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per key and along ``order``, the running total of each non-null expression in ``sums``.
 
     With ``peers`` rows of equal order share one total (a range frame), otherwise each row is a step of its own.
-    ``step_suffix`` also adds what that last step contributed, under the total's name plus the suffix.
+    ``step_suffix`` also adds what that last step contributed, under the total's name plus the suffix. ``counted`` is a
+    cheaper table to tell the hot keys from, when ``df`` has but a few rows per row of it.
     """
-    blocked = _blocked(df, keys, block, hot_rows)
+    blocked, hot = _blocked(df, keys, block, hot_rows, counted)
     steps = Window.partitionBy(_KEY, _BLOCK).orderBy(order)
     between = steps.rangeBetween if peers else steps.rowsBetween
     frame = between(Window.unboundedPreceding, Window.currentRow)
@@ -72,9 +77,7 @@ def running_sums(
         *[F.sum(e).over(own).alias(name + step_suffix) for name, e in sums.items() if step_suffix],
     )
 
-    totals = blocked.where(F.col(_BLOCK).isNotNull()).groupBy(_KEY, _BLOCK).agg(
-        *[F.sum(e).alias(f"__of_{name}") for name, e in sums.items()]
-    )
+    totals = hot.groupBy(_KEY, _BLOCK).agg(*[F.sum(e).alias(f"__of_{name}") for name, e in sums.items()])
     before = Window.partitionBy(_KEY).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(_KEY, _BLOCK, *[F.sum(f"__of_{name}").over(before).alias(f"__to_{name}") for name in sums])
 
@@ -95,10 +98,10 @@ def with_previous(
 ) -> DataFrame:
     """Add ``into``: a struct holding the value ``v`` of the key's previous row, null where there is none."""
     held = F.struct(value.alias("v"))
-    blocked = _blocked(df, keys, block, hot_rows)
+    blocked, hot = _blocked(df, keys, block, hot_rows)
     steps = Window.partitionBy(_KEY, _BLOCK).orderBy(order)
     local = blocked.select("*", F.lag(held).over(steps).alias("__in"))
 
-    lasts = blocked.where(F.col(_BLOCK).isNotNull()).groupBy(_KEY, _BLOCK).agg(F.max_by(held, order).alias("__last"))
+    lasts = hot.groupBy(_KEY, _BLOCK).agg(F.max_by(held, order).alias("__last"))
     carry = lasts.select(_KEY, _BLOCK, F.lag("__last").over(Window.partitionBy(_KEY).orderBy(_BLOCK)).alias("__to"))
     return _with_carry(local, carry).select(*df.columns, F.coalesce("__in", "__to").alias(into))

@@ -104,7 +104,7 @@ def running_counts(
     steps = records.withColumn("__record", F.lit(True)).unionByName(firsts, allowMissingColumns=True)
     sums = {"pv": F.col("__pv").cast("long"), "uv": F.col("__uv").cast("long")}
     block = ordered.number_block(seq, width)
-    run = ordered.running_sums(steps, keys, seq, sums, block, peers=True, hot_rows=hot_rows)
+    run = ordered.running_sums(steps, keys, seq, sums, block, peers=True, hot_rows=hot_rows, counted=df)
     return run.where("__record").select(*df.columns, "pv", "uv")
 
 

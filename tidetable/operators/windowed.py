@@ -43,44 +43,36 @@ def window_aggregate(
     """``keys, w_start, w_end, *measures`` per key and window.
 
     Overlapping hops over bounded input aggregate once per slide-wide slice and copy only those partial rows
-    into the windows that cover them, instead of copying every input row ``size / slide`` times. Streams use
-    Spark's own window expansion, because a stream keeps one aggregation state.
+    into the windows that cover them, instead of copying every input row ``size / slide`` times. The sum of an average's
+    slice and its count combine exactly. Streams use Spark's own window expansion, because a stream keeps one
+    aggregation state.
     """
-    even = slide and timewin.micros_of(size) % timewin.micros_of(slide) == 0
-    if even and micros_ratio(size, slide) > 1 and preaggregate and not df.isStreaming:
-        return _sliced(df, ts, keys, measures, size, slide)
-    aggregates = [_direct(fn, col).alias(name) for name, (fn, col) in measures.items()]
-    counted = timewin.assign(df, ts, size, slide).groupBy("w", *keys).agg(*aggregates)
-    return counted.select(*keys, *timewin.bounds(size, slide), *measures)
-
-
-def micros_ratio(size: str, slide: str) -> int:
-    """How many hops of ``slide`` fit into ``size``."""
-    return timewin.micros_of(size) // timewin.micros_of(slide)
+    if df.isStreaming or timewin.is_gapped(size, slide):
+        aggregates = [_direct(fn, col).alias(name) for name, (fn, col) in measures.items()]
+        counted = timewin.assign(df, ts, size, slide).groupBy("w", *keys).agg(*aggregates)
+        return counted.select(*keys, *timewin.bounds(size, slide), *measures)
+    hops = timewin.micros_of(size) / timewin.micros_of(slide or size)
+    if preaggregate and hops > 1 and hops.is_integer():
+        counted = _sliced(df, ts, keys, measures, size, slide)
+    else:
+        aggregates = [_direct(fn, col).alias(name) for name, (fn, col) in measures.items()]
+        counted = df.groupBy(timewin.starts(ts, size, slide), *keys).agg(*aggregates)
+    return counted.select(*keys, "w_start", (F.col("w_start") + timewin.interval(size)).alias("w_end"), *measures)
 
 
 def _sliced(df: DataFrame, ts: str, keys: Sequence[str], measures: Measures, size: str, slide: str) -> DataFrame:
     parts = _partials(measures)
-    slices = (
-        df.groupBy(F.window(ts, slide).alias("w"), *keys)
-        .agg(*[piece.alias(name) for name, (piece, _) in parts.items()])
+    slices = df.groupBy(timewin.starts(ts, slide).alias("__slice"), *keys).agg(
+        *[piece.alias(name) for name, (piece, _) in parts.items()]
     )
-    panes = slices.withColumn("w_start", F.explode(covering_starts(F.col("w")["start"], size, slide)))
-    merged = panes.groupBy("w_start", *keys).agg(
+    merged = slices.groupBy(timewin.starts("__slice", size, slide), *keys).agg(
         *[{"sum": F.sum, "min": F.min, "max": F.max}[how](name).alias(name) for name, (_, how) in parts.items()]
     )
     outputs = [
         (F.col(f"{name}__sum") / F.col(f"{name}__n")).alias(name) if fn == "avg" else F.col(name)
         for name, (fn, _) in measures.items()
     ]
-    w_end = (F.col("w_start") + timewin.interval(size)).alias("w_end")
-    return merged.select(*keys, "w_start", w_end, *outputs)
-
-
-def covering_starts(slice_start: Column, size: str, slide: str) -> Column:
-    """Starts of all hopping windows that cover one slide-wide slice."""
-    reach = timewin.micros_of(size) - timewin.micros_of(slide)
-    return F.sequence(slice_start - timewin.interval(f"{reach} microseconds"), slice_start, timewin.interval(slide))
+    return merged.select(*keys, "w_start", *outputs)
 
 
 def pv_uv(df: DataFrame, keys: Sequence[str | Column], visitor: str, exact: bool = True) -> DataFrame:
@@ -100,8 +92,8 @@ def hourly_pv_uv(df: DataFrame, ts: str, visitor: str, exact: bool = True) -> Da
 
 def window_pv_uv(df: DataFrame, ts: str, keys: Sequence[str], visitor: str, size: str, exact: bool = True) -> DataFrame:
     """Page views and unique visitors per key and tumbling window."""
-    counted = pv_uv(timewin.assign(df, ts, size), ["w", *keys], visitor, exact)
-    return counted.select(*keys, *timewin.bounds(size), "pv", "uv")
+    counted = pv_uv(df, [timewin.starts(ts, size), *keys], visitor, exact)
+    return counted.select(*keys, "w_start", (F.col("w_start") + timewin.interval(size)).alias("w_end"), "pv", "uv")
 
 
 def words(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
