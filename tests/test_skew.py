@@ -153,6 +153,35 @@ def test_join_panes(records, frame, how):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_joins_equal_plain_ones(frame, how):
+    left = frame.where("visitor = 'v0'").select("k", "seq", F.col("ts").alias("l_ts"))
+    right = frame.where("visitor = 'v1'").select("k", F.col("seq").alias("r_seq"), F.col("ts").alias("r_ts"))
+    plain, salted = [
+        joins.window_join(left, right, "k", "l_ts", "r_ts", "10 seconds", how, salts=n).collect() for n in (1, 5)
+    ]
+    assert sorted(plain, key=str) == sorted(salted, key=str) and plain
+    near, dealt = [
+        joins.interval_join(left, right, "k", "l_ts", "r_ts", "7 seconds", bucketed=b, salts=n).collect()
+        for b, n in ((False, 1), (True, 4))
+    ]
+    assert sorted(near, key=str) == sorted(dealt, key=str) and near
+
+
+def test_changelog_goes_on_from_a_state(frame):
+    measures = {"total": ("sum", "v"), "n": ("count", "*")}
+    whole = changelog.aggregate_changelog(frame, ["k"], "seq", measures, hot_rows=HOT, width=WIDTH).collect()
+    parts, state = [], None
+    for condition in ("seq < 150", "seq >= 150 and seq < 300", "seq >= 300"):
+        part = frame.where(condition)
+        log = changelog.aggregate_changelog(part, ["k"], "seq", measures, opening=state, hot_rows=HOT, width=WIDTH)
+        parts += log.collect()
+        state = changelog.closing_state(part, ["k"], "seq", measures, state)
+    assert sorted(parts, key=str) == sorted(whole, key=str)
+    with pytest.raises(ValueError):
+        changelog.closing_state(frame, ["k"], "seq", {"uv": ("count_distinct", "visitor")})
+
+
 def test_hot_keys_leave_no_large_window_group(spark):
     """The widest window group stays within the block width even when one key holds all rows."""
     df = spark.range(10_000).select(F.lit("hot").alias("k"), F.col("id").alias("seq"), F.lit(1).alias("v"))

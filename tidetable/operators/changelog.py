@@ -8,53 +8,64 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from tidetable.operators import ordered
-from tidetable.operators.ordered import BLOCK_WIDTH, HOT_ROWS
+from tidetable.operators.ordered import BEFORE_ALL, BLOCK_WIDTH, HOT_ROWS
 
+# result column -> (function, column)
+Measures = Mapping[str, tuple[str, str]]
 
-def aggregate_changelog(
-    df: DataFrame,
-    keys: Sequence[str],
-    seq: str,
-    measures: Mapping[str, tuple[str, str]],
-    emit_unchanged: bool = False,
-    hot_rows: int = HOT_ROWS,
-    width: int = BLOCK_WIDTH,
-) -> DataFrame:
-    """All updates of ``GROUP BY keys`` as records arrive: ``op, keys, seq, *measures``.
 
-    Measures are ``('sum', column)``, ``('count', column or '*')`` and at most one ``('count_distinct', column)``.
-    Each record retracts its key's last result, if any, and adds the new one; a record that leaves the result
-    unchanged emits nothing unless ``emit_unchanged`` (the behaviour under idle-state retention). Sums need an exact
-    type, so that what is retracted equals what was added.
-    """
-    distinct = [(name, col) for name, (fn, col) in measures.items() if fn == "count_distinct"]
+def _steps(df: DataFrame, keys: Sequence[str], seq: str, measures: Measures) -> tuple[DataFrame, list[str]]:
+    """What every record adds to its key's running state: ``keys, seq, __record`` and one column per state name."""
+    distinct = [col for fn, col in measures.values() if fn == "count_distinct"]
     if len(distinct) > 1:
         raise ValueError("at most one count_distinct per change-log")
     steps = df.select("*", F.lit(1).alias("__record"), F.lit(0).alias("__first"))
     if distinct:
-        visitor = distinct[0][1]
-        firsts = df.where(F.col(visitor).isNotNull()).groupBy(*keys, visitor).agg(F.min(seq).alias(seq))
+        firsts = df.where(F.col(distinct[0]).isNotNull()).groupBy(*keys, distinct[0]).agg(F.min(seq).alias(seq))
         firsts = firsts.select(*keys, seq, F.lit(0).alias("__record"), F.lit(1).alias("__first"))
         steps = steps.unionByName(firsts, allowMissingColumns=True)
 
-    sums = {"__rows": F.col("__record").cast("long")}
+    state = {"__rows": F.col("__record").cast("long")}
     for name, (fn, col) in measures.items():
         if fn == "sum":
             if isinstance(df.schema[col].dataType, (FloatType, DoubleType)):
                 raise ValueError(f"sum of {col}: cast to an integral or decimal type first")
-            sums[f"__new_{name}"] = F.coalesce(F.col(col), F.lit(0))
-            sums[f"__set_{name}"] = F.col(col).isNotNull().cast("long")
+            state[f"__new_{name}"] = F.coalesce(F.col(col), F.lit(0))
+            state[f"__set_{name}"] = F.col(col).isNotNull().cast("long")
         elif fn == "count":
             counted = F.col("__record") if col == "*" else F.col(col).isNotNull().cast("int") * F.col("__record")
-            sums[f"__new_{name}"] = counted.cast("long")
+            state[f"__new_{name}"] = counted.cast("long")
         else:
-            sums[f"__new_{name}"] = F.col("__first").cast("long")
+            state[f"__new_{name}"] = F.col("__first").cast("long")
+    return steps.select(*keys, seq, "__record", *[e.alias(name) for name, e in state.items()]), list(state)
+
+
+def aggregate_changelog(
+    df: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    measures: Measures,
+    emit_unchanged: bool = False,
+    opening: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    width: int = BLOCK_WIDTH,
+) -> DataFrame:
+    """All updates of ``GROUP BY keys`` as records arrive: ``op, keys, seq, *measures``.
+
+    Measures are ``('sum', column)``, ``('count', column or '*')`` and at most one ``('count_distinct', column)``.
+    Each record retracts its key's last result, if any, and adds the new one; a record that leaves the result
+    unchanged emits nothing unless ``emit_unchanged`` (the behaviour under idle-state retention). Sums need an exact
+    type, so that what is retracted equals what was added. ``opening`` is the `closing_state` of earlier input.
+    """
+    steps, state = _steps(df, keys, seq, measures)
+    if opening is not None:
+        steps = steps.unionByName(opening.withColumn(seq, F.lit(BEFORE_ALL)).withColumn("__record", F.lit(0)))
     # a record and its visitor's first sighting share one position, so they form one step
     run = ordered.running_sums(
-        steps.select(*keys, seq, "__record", *[e.alias(name) for name, e in sums.items()]),
+        steps,
         keys,
         seq,
-        {name: F.col(name) for name in sums},
+        {name: F.col(name) for name in state},
         ordered.number_block(seq, width),
         peers=True,
         step_suffix="__step",
@@ -82,6 +93,22 @@ def aggregate_changelog(
     return log.where("__change.op or __rows > 1").select("__change.op", *keys, seq, "__change.row.*")
 
 
+def closing_state(
+    df: DataFrame, keys: Sequence[str], seq: str, measures: Measures, opening: DataFrame | None = None
+) -> DataFrame:
+    """Per-key state after all records, from which the change-log of later input goes on.
+
+    Distinct counts would need every visitor ever seen, so they cannot be continued.
+    """
+    if any(fn == "count_distinct" for fn, _ in measures.values()):
+        raise ValueError("a change-log of distinct counts cannot be continued from totals")
+    steps, state = _steps(df, keys, seq, measures)
+    steps = steps.select(*keys, *state)
+    if opening is not None:
+        steps = steps.unionByName(opening)
+    return steps.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in state])
+
+
 def apply_changelog(log: DataFrame, keys: Sequence[str], seq: str, op: str = "op") -> DataFrame:
     """The table a change-log describes: per key the last change wins, and a last retraction removes the key."""
     values = [c for c in log.columns if c not in (*keys, seq, op)]

@@ -11,10 +11,6 @@ from tidetable.operators import ordered
 from tidetable.operators.ordered import BLOCK_WIDTH, HOT_ROWS
 
 
-def _aliased(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return left.alias("l"), right.alias("r")
-
-
 def _windowed(df: DataFrame, ts: str, size: str) -> DataFrame:
     assigned = timewin.assign(df, ts, size)
     if not df.isStreaming:
@@ -23,6 +19,13 @@ def _windowed(df: DataFrame, ts: str, size: str) -> DataFrame:
     return assigned.withColumn(ts, F.col(ts) + timewin.interval("0 seconds"))
 
 
+def _salted(a: DataFrame, b: DataFrame, columns: Sequence[str], salts: int) -> tuple[DataFrame, DataFrame]:
+    """Each left row gets one salt, from the text of its columns, each right row a copy per salt."""
+    dealt = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in columns]), F.lit(salts)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    return a.withColumn("__salt", dealt), b.withColumn("__salt", copies)
+
+
 def window_join(
     left: DataFrame,
     right: DataFrame,
@@ -32,15 +35,23 @@ def window_join(
     size: str,
     how: str = "inner",
     zero_time: Sequence[str] = (),
+    salts: int = 1,
 ) -> DataFrame:
     """Equi-join of two inputs within tumbling windows; columns of ``right`` other than the key must be distinct.
 
     In a left join, ``zero_time`` names right-hand columns that read 0 instead of null for unmatched rows. On
     streams both inputs need watermarks.
+
+    On bounded input Spark splits a skewed (key, window) at run time. It does not on streams: there ``salts`` deals the
+    left rows of a key over that many tasks, each of which gets all right rows.
     """
     a = _windowed(left, left_ts, size)
     b = _windowed(right, right_ts, size)
-    joined = a.join(b, [key, "w"], how)
+    on = [key, "w"]
+    if salts > 1:
+        a, b = _salted(a, b, left.columns, salts)
+        on.append("__salt")
+    joined = a.join(b, on, how)
     columns = [c for c in [*left.columns, *right.columns] if c != key]
     values = [F.coalesce(F.col(c), F.lit(0)).alias(c) if c in zero_time else F.col(c) for c in columns]
     return joined.select(key, *timewin.bounds(size), *values)
@@ -118,28 +129,34 @@ def interval_join(
     right_ts: str,
     within: str,
     bucketed: bool | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """Pairs of equal key whose right time lies in ``[left_ts, left_ts + within]``, both ends included.
 
     Bounded inputs also join on time buckets as long as the interval: a left row enters the two buckets its interval
     can touch, a right row its own, so a key with a long history meets only its neighbourhood in time and spreads
-    over many tasks. Streams join on the key and the range, which bounds their state.
+    over many tasks. Streams join on the key and the range, which bounds their state; ``salts`` spreads a hot key there as
+    in `window_join`.
     """
-    a, b = _aliased(left, right.withColumnRenamed(key, f"__{key}"))
+    right_columns = [c for c in right.columns if c != key]
+    left_columns, right = left.columns, right.withColumnRenamed(key, f"__{key}")
     same = F.col(f"l.{key}") == F.col(f"r.__{key}")
+    if salts > 1:
+        left, right = _salted(left, right, left_columns, salts)
+        same = same & (F.col("l.__salt") == F.col("r.__salt"))
     low, high = F.col(f"l.{left_ts}"), F.col(f"l.{left_ts}") + timewin.interval(within)
     near = (F.col(f"r.{right_ts}") >= low) & (F.col(f"r.{right_ts}") <= high)
-    columns = [*[F.col(f"l.{c}") for c in left.columns], *[F.col(f"r.{c}") for c in right.columns if c != key]]
+    columns = [*[F.col(f"l.{c}") for c in left_columns], *[F.col(f"r.{c}") for c in right_columns]]
     if bucketed is None:
         bucketed = not (left.isStreaming or right.isStreaming)
-    if not bucketed:
-        return a.join(b, same & near).select(*columns)
-    start = F.window(left_ts, within)["start"]
-    a = left.withColumn("__start", start).withColumn(
-        "__bucket", F.explode(F.array("__start", F.col("__start") + timewin.interval(within)))
-    ).alias("l")
-    b = right.withColumnRenamed(key, f"__{key}").withColumn("__bucket", F.window(right_ts, within)["start"]).alias("r")
-    return a.join(b, same & (F.col("l.__bucket") == F.col("r.__bucket")) & near).select(*columns)
+    if bucketed:
+        start = F.window(left_ts, within)["start"]
+        left = left.withColumn("__start", start).withColumn(
+            "__bucket", F.explode(F.array("__start", F.col("__start") + timewin.interval(within)))
+        )
+        right = right.withColumn("__bucket", F.window(right_ts, within)["start"])
+        same = same & (F.col("l.__bucket") == F.col("r.__bucket"))
+    return left.alias("l").join(right.alias("r"), same & near).select(*columns)
 
 
 def dimension_join(rows: DataFrame, dimension: DataFrame, on: Column, how: str = "inner") -> DataFrame:

@@ -11,10 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidetable.functions import timewin
 from tidetable.operators import ordered, windowed
-from tidetable.operators.ordered import BLOCK_WIDTH, HOT_ROWS
-
-# an order number in front of every arrival number
-BEFORE_ALL = -(1 << 62)
+from tidetable.operators.ordered import BEFORE_ALL, BLOCK_WIDTH, HOT_ROWS
 
 
 def running_total(

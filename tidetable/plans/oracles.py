@@ -347,9 +347,7 @@ SELECT CAST(user_id AS VARCHAR) AS "userId", value AS price, event_id * 1000 AS
     "payload_totals": f"SELECT '(' || event_type || ',' || total || ')' AS value FROM ({CARRIED_TOTAL})",
     "json_tumble": JSON_TUMBLE,
     "stream_hot_items": HOT_ITEMS,
-    "stream_hot_items_timer": f"""
-SELECT w_end, CAST(rank AS INTEGER) AS rank, item_id AS item, views AS n FROM ({HOT_ITEMS})
-""",
+    "stream_hot_items_timer": f"SELECT w_end, rank, item_id AS item, views AS n FROM ({HOT_ITEMS})",
     "stream_tumble_count": TUMBLE_COUNT,
     "stream_tumble_refined": TUMBLE_COUNT,
     "stream_hop_gapped": HOP_GAPPED,
@@ -361,7 +359,8 @@ SELECT w_end, CAST(rank AS INTEGER) AS rank, item_id AS item, views AS n FROM ({
     "stream_avg_emit_on_change": AVG_ON_CHANGE,
     "stream_running_total": RUNNING_TOTAL,
     "stream_carried_total": CARRIED_TOTAL,
-    "stream_sum_retract": SUM_TABLE,
+    "stream_sum_retract": SUM_RETRACT,
+    "stream_apply_changelog": SUM_TABLE,
     "stream_word_count": WORD_COUNT_TUMBLE,
     "stream_window_inner_join": INNER_JOIN,
     "stream_window_left_join": LEFT_JOIN,

@@ -106,8 +106,9 @@ def stream_hot_items_timer(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay, stream = _events(spark, sf_dir)
     views = of_type(stream, "view").withColumnRenamed("user_id", "item_id")
     counts = windowed.window_aggregate(views, "ts", ["item_id"], {"n": ("count", "*")}, "1 day", "1 hour")
-    ranked = stateful.window_top_k(counts.select("w_end", F.col("item_id").alias("item"), "n"), "w_end", 5)
-    return replay.closed(ranked, event_type=["view"])
+    best = stateful.window_top_k(counts.select("w_end", F.col("item_id").alias("item"), "n"), "w_end", 5)
+    replay.closed(best, jobs.top_k_sink(replay.out, ["w_end"], "n", "item", 5), event_type=["view"])
+    return replay.read()
 
 
 def stream_tumble_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,12 +210,18 @@ def stream_carried_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_sum_retract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sum per type as a change-log from per-key state, applied to the table it describes."""
+    """Every update of the sum per type as retraction and addition, continued across micro-batches."""
     replay = Replay.of(spark, sf_dir, "events", "ts")
-    source = replay.stream().select(F.col("event_type").alias("key"), cents("value").alias("value"))
-    log = stateful.retracting_sum(source, "key")
-    run.drain(log, sinks.file_sink(replay.out), replay.checkpoint)
-    return changelog.apply_changelog(replay.read(log.columns), ["key"], "step").withColumnRenamed("key", "event_type")
+    stream = replay.stream().withColumn("cents", cents("value")).select("event_id", "event_type", "cents")
+    measures = {"total": ("sum", "cents")}
+    sink = carry.changelog_sink(replay.out, f"{replay.folder}/state", ["event_type"], "event_id", measures)
+    run.drain(stream, sink, replay.checkpoint)
+    return replay.read()
+
+
+def stream_apply_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table that the streamed change-log of sums describes."""
+    return changelog.apply_changelog(stream_sum_retract(spark, sf_dir), ["event_type"], "event_id")
 
 
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,6 +305,7 @@ QUERIES = {
         stream_running_total,
         stream_carried_total,
         stream_sum_retract,
+        stream_apply_changelog,
         stream_word_count,
         stream_window_inner_join,
         stream_window_left_join,

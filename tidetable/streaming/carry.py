@@ -1,39 +1,54 @@
-"""Running totals of a stream with bounded-table operators: every micro-batch continues from stored totals."""
+"""Running totals and change-logs of a stream with bounded-table operators.
+
+Every micro-batch is a bounded table in which values run in order of the arrival number, hot keys split over many tasks.
+It starts from stored per-key state. States alternate between two folders: batch n reads the one of batch n - 1 and
+replaces the one of n - 2, so a batch that is tried again, after whatever failure, finds its starting state unchanged.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidetable.operators import running
+from tidetable.operators import changelog, running
 from tidetable.streaming.sinks import BATCH
 
+Step = Callable[[DataFrame, DataFrame | None], DataFrame]
 
-def running_total_sink(path: str, totals: str, keys: Sequence[str], value: str, seq: str, into: str = "total"):
-    """Write every record with its running total to ``path/batch=<id>``.
 
-    Inside a micro-batch the total runs in order of ``seq`` and hot keys are split, which a per-key processor cannot do.
-    Totals per key alternate between two folders below ``totals``: batch n reads those of batch n - 1 and replaces those
-    of n - 2, so a batch that is tried again finds its starting totals unchanged.
-    """
+def _continued(path: str, state: str, result: Step, closing: Step):
+    """Sink that writes ``result(batch, opening)`` to ``path/batch=<id>`` and keeps ``closing(batch, opening)``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         records = batch.persist()
-        opening = None
-        if batch_id > 0:
-            opening = spark.read.parquet(f"{totals}/slot={(batch_id - 1) % 2}")
-        running.running_total(records, keys, value, seq, into, opening).write.mode("overwrite").parquet(
-            f"{path}/{BATCH}={batch_id}"
-        )
-        running.closing_totals(records, keys, value, into, opening).write.mode("overwrite").parquet(
-            f"{totals}/slot={batch_id % 2}"
-        )
+        opening = batch.sparkSession.read.parquet(f"{state}/slot={(batch_id - 1) % 2}") if batch_id else None
+        result(records, opening).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        closing(records, opening).write.mode("overwrite").parquet(f"{state}/slot={batch_id % 2}")
         records.unpersist()
 
     def attach(writer: DataStreamWriter) -> DataStreamWriter:
         return writer.foreachBatch(write)
 
     return attach
+
+
+def running_total_sink(path: str, state: str, keys: Sequence[str], value: str, seq: str, into: str = "total"):
+    """Write every record with its key's total so far to ``path/batch=<id>``."""
+    return _continued(
+        path,
+        state,
+        lambda batch, opening: running.running_total(batch, keys, value, seq, into, opening),
+        lambda batch, opening: running.closing_totals(batch, keys, value, into, opening),
+    )
+
+
+def changelog_sink(path: str, state: str, keys: Sequence[str], seq: str, measures: changelog.Measures):
+    """Write the change-log of sums and counts per key to ``path/batch=<id>``."""
+    return _continued(
+        path,
+        state,
+        lambda batch, opening: changelog.aggregate_changelog(batch, keys, seq, measures, opening=opening),
+        lambda batch, opening: changelog.closing_state(batch, keys, seq, measures, opening),
+    )

@@ -1,6 +1,7 @@
 """Stateful processors for live streams, for per-key logic that Spark's own streaming operators cannot express.
 
-State lives in the state store and may expire after ``ttl_ms`` without an update. Expiry runs on processing time, for
+A processor handles the records of one key one after the other in one task, whatever their number: for keys that may hold a
+large share of a stream take the micro-batch forms in `carry`. State lives in the state store and may expire after ``ttl_ms`` without an update. Expiry runs on processing time, for
 which Spark keeps scheduling batches, so such a query must be a standing one (`run.continuous`): a drain would not end.
 A processor walks through the rows
 of a key one by one; only `CarriedTotal` and `EmitOnChange` sort, and their rows are the closed windows of one key, not
@@ -15,7 +16,7 @@ import sys
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 # executors receive the processors by value, so they need no copy of this package
@@ -112,7 +113,7 @@ class EmitOnChange(StatefulProcessor):
 
 
 class WindowTopK(StatefulProcessor):
-    """The k largest counts per window end, emitted by an event-time timer one millisecond after it.
+    """The k largest counts per window end and share, emitted by an event-time timer one millisecond after the end.
 
     Only the best k rows are ever held.
     """
@@ -135,14 +136,14 @@ class WindowTopK(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         rows = [(r[0], r[1]) for r in self.best.get()]
         self.best.clear()
-        for rank, (item, n) in enumerate(rows, 1):
-            yield Row(w_end=key[0], rank=rank, item=item, n=n)
+        for item, n in rows:
+            yield Row(w_end=key[0], item=item, n=n)
 
     def close(self) -> None:
         pass
 
 
-def _process(df: DataFrame, key: str, processor: StatefulProcessor, schema: str, time_mode: str = "none") -> DataFrame:
+def _process(df: DataFrame, key: str, processor: StatefulProcessor, schema: str, time_mode: str) -> DataFrame:
     return df.groupBy(key).transformWithState(processor, schema, "append", time_mode)
 
 
@@ -174,7 +175,13 @@ def emit_on_change(df: DataFrame, key: str, key_type: str = "string", ttl_ms: in
     return _process(df, key, EmitOnChange(ttl_ms), schema, _time_mode(ttl_ms))
 
 
-def window_top_k(df: DataFrame, window_end: str, k: int = 5) -> DataFrame:
-    """`WindowTopK` over closed windows with columns ``item, n`` and the window's end."""
-    schema = "w_end timestamp, rank int, item bigint, n bigint"
-    return _process(df, window_end, WindowTopK(k), schema, "eventTime")
+def window_top_k(df: DataFrame, window_end: str, k: int = 5, shares: int = 8) -> DataFrame:
+    """Candidates for the top k per window of closed windows with columns ``item, n`` and the window's end.
+
+    The items of a window are dealt into ``shares`` groups that keep their best k each, so one huge window spreads
+    over many tasks; all groups of a window fire together, and `jobs.top_k_sink` ranks what is left of them.
+    """
+    dealt = df.withColumn("__share", F.pmod(F.xxhash64("item"), F.lit(shares)))
+    return dealt.groupBy(window_end, "__share").transformWithState(
+        WindowTopK(k), "w_end timestamp, item bigint, n bigint", "append", "eventTime"
+    )
