@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidetable.operators import changelog, joins, ordered, running
+from tidetable.operators import changelog, custom, joins, ordered, running
 
 HOT, WIDTH = 6, 5
 START = datetime(2024, 1, 1)
@@ -182,6 +182,23 @@ def test_changelog_goes_on_from_a_state(frame):
         changelog.closing_state(frame, ["k"], "seq", {"uv": ("count_distinct", "visitor")})
 
 
+def test_user_accumulators_pass_on_what_they_cannot_hold(records, frame):
+    def accumulate(pdf):
+        return pdf.groupby("k", as_index=False, dropna=False).agg(top=("seq", "max"), n=("seq", "count"))
+
+    def merge(accumulators):
+        return accumulators.groupby("k", as_index=False, dropna=False).agg(top=("top", "max"), n=("n", "sum"))
+
+    want = {}
+    for k, seq, *_ in records:
+        top, n = want.get(k, (0, 0))
+        want[k] = max(top, seq), n + 1
+    for held in (2, 1000):
+        got = custom.user_aggregate(frame.select("k", "seq"), ["k"], accumulate, merge, "k string, top bigint, n bigint", held)
+        rows = got.collect()
+        assert len(rows) == len(want) and {r["k"]: (r["top"], r["n"]) for r in rows} == want
+
+
 def test_hot_keys_leave_no_large_window_group(spark):
     """The widest window group stays within the block width even when one key holds all rows."""
     df = spark.range(10_000).select(F.lit("hot").alias("k"), F.col("id").alias("seq"), F.lit(1).alias("v"))

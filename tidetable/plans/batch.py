@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidetable import schemas
 from tidetable.functions import timewin
-from tidetable.operators import changelog, joins, rows, running, topk, windowed
+from tidetable.operators import changelog, custom, joins, rows, running, topk, windowed
 from tidetable.plans.tables import (
     arriving_documents,
     cents,
@@ -16,6 +16,7 @@ from tidetable.plans.tables import (
     purchases,
     region_orders,
     table,
+    utc_instant,
     utc_wall,
     value_class,
 )
@@ -53,7 +54,7 @@ def hot_items_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("itemId"),
         F.length("event_type").cast("long").alias("categoryId"),
         F.when(F.col("event_type") == "view", "pv").otherwise(F.col("event_type")).alias("behavior"),
-        F.unix_seconds(F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())).alias("timestamp"),
+        F.unix_seconds(utc_instant("ts")).alias("timestamp"),
     )
     source.write.csv(folder)
     scan = timewin.with_event_time(files.read_csv(spark, folder, schemas.USER_BEHAVIOR_CSV), "timestamp", "s")
@@ -197,6 +198,26 @@ def window_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windowed.window_aggregate(events(spark, sf_dir), "ts", ["user_id"], measures, "1 day")
 
 
+def user_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same average from a user-supplied accumulator of sum and count."""
+
+    def accumulate(pdf):
+        grouped = pdf.groupby(["user_id", "w_start"], as_index=False, dropna=False)["cents"]
+        return grouped.agg(amount="sum", deals="count")
+
+    def merge(accumulators):
+        return accumulators.groupby(["user_id", "w_start"], as_index=False, dropna=False)[["amount", "deals"]].sum()
+
+    placed = events(spark, sf_dir).select("user_id", timewin.starts("ts", "1 day"), "cents")
+    merged = custom.user_aggregate(
+        placed, ["user_id", "w_start"], accumulate, merge, "user_id bigint, w_start timestamp_ntz, amount bigint, deals bigint"
+    )
+    return merged.select(
+        "user_id", "w_start", (F.col("w_start") + timewin.interval("1 day")).alias("w_end"),
+        (F.col("amount") / F.col("deals")).alias("avg_cents"),
+    )
+
+
 def window_avg_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Average of the user's day after every single event."""
     source = events(spark, sf_dir).select("event_id", "ts", "user_id", "cents")
@@ -388,6 +409,7 @@ QUERIES = {
         pvuv_tumble,
         pvuv_panes,
         window_avg,
+        user_avg,
         window_avg_panes,
         avg_emit_on_change,
         panes_emit_on_change,

@@ -319,6 +319,7 @@ UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'O' AND o_totalprice < 1000
     "pvuv_tumble": PVUV_TUMBLE,
     "pvuv_panes": PVUV_PANES,
     "window_avg": WINDOW_AVG,
+    "user_avg": WINDOW_AVG,
     "window_avg_panes": AVG_PANES,
     "avg_emit_on_change": AVG_ON_CHANGE,
     "panes_emit_on_change": PANES_ON_CHANGE,

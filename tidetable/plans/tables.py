@@ -48,6 +48,11 @@ def utc_wall(ts: str | Column) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), column.cast("timestamp_ntz"))
 
 
+def utc_instant(wall: str) -> Column:
+    """The instant a zoneless UTC wall-clock time names, whatever the session's zone."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(wall)).cast("timestamp")
+
+
 def arriving_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents arriving one per second from the epoch on."""
     arrival = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("doc_id"))
