@@ -40,5 +40,20 @@ def user_aggregate(
         if held is not None:
             yield held
 
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_key = None
+        for batch in batches:
+            rows = batch if open_key is None else pd.concat([open_key, batch], ignore_index=True)
+            if rows.empty:
+                continue
+            last = rows[list(keys)].iloc[-1]
+            of_last = ((rows[list(keys)] == last) | (rows[list(keys)].isna() & last.isna())).all(axis=1)
+            if not of_last.all():
+                yield merge(rows[~of_last])
+            open_key = merge(rows[of_last])
+        if open_key is not None:
+            yield open_key
+
+    # equal keys arrive next to each other, so all but the last key of a batch are complete
     partial = df.mapInPandas(fold, accumulator)
-    return partial.groupBy(*keys).applyInPandas(merge, accumulator)
+    return partial.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(finish, accumulator)

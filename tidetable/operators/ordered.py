@@ -66,7 +66,7 @@ def running_sums(
 
     With ``peers`` rows of equal order share one total (a range frame), otherwise each row is a step of its own.
     ``step_suffix`` also adds what that last step contributed, under the total's name plus the suffix. ``counted`` is a
-    cheaper table to tell the hot keys from, when ``df`` has but a few rows per row of it.
+    cheaper table to find the hot keys in, such as the records that ``df`` was made from.
     """
     blocked, hot = _blocked(df, keys, block, hot_rows, counted)
     steps = Window.partitionBy(_KEY, _BLOCK).orderBy(order)
@@ -97,10 +97,11 @@ def with_previous(
     into: str,
     block: Column,
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``into``: a struct holding the value ``v`` of the key's previous row, null where there is none."""
     held = F.struct(value.alias("v"))
-    blocked, hot = _blocked(df, keys, block, hot_rows)
+    blocked, hot = _blocked(df, keys, block, hot_rows, counted)
     steps = Window.partitionBy(_KEY, _BLOCK).orderBy(order)
     local = blocked.select("*", F.lag(held).over(steps).alias("__in"))
 

@@ -60,7 +60,13 @@ def carried_total(
     """Per key and tumbling window that has records: the total of this and all earlier windows."""
     sums = windowed.window_aggregate(df, ts, keys, {into: ("sum", value)}, size)
     return ordered.running_sums(
-        sums, keys, "w_start", {into: F.coalesce(F.col(into), F.lit(0))}, _window_block(size, width), hot_rows=hot_rows
+        sums,
+        keys,
+        "w_start",
+        {into: F.coalesce(F.col(into), F.lit(0))},
+        _window_block(size, width),
+        hot_rows=hot_rows,
+        counted=df,
     )
 
 
@@ -134,13 +140,15 @@ def emit_on_change(
     value: str,
     block: Column | None = None,
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Only the rows whose value differs from the key's previous row (its first row always stays).
 
-    Values are compared, not object identities, so an equal value is suppressed.
+    Values are compared, not object identities, so an equal value is suppressed. ``counted`` names the records behind
+    ``df``, if hot keys are cheaper to find there.
     """
     block = ordered.number_block(order) if block is None else block
-    seen = ordered.with_previous(df, keys, order, F.col(value), "__previous", block, hot_rows)
+    seen = ordered.with_previous(df, keys, order, F.col(value), "__previous", block, hot_rows, counted)
     changed = F.col("__previous").isNull() | ~F.col("__previous")["v"].eqNullSafe(F.col(value))
     return seen.where(changed).drop("__previous")
 
@@ -156,7 +164,7 @@ def changed_window_averages(
 ) -> DataFrame:
     """Average per key and tumbling window, kept only where it differs from the key's previous window."""
     averages = windowed.window_aggregate(df, ts, keys, {"avg": ("avg", value)}, size)
-    return emit_on_change(averages, keys, "w_start", "avg", _window_block(size, width), hot_rows)
+    return emit_on_change(averages, keys, "w_start", "avg", _window_block(size, width), hot_rows, counted=df)
 
 
 def over_range(
@@ -174,7 +182,7 @@ def over_range(
     """
     steps = df.groupBy(*keys, ts).agg(F.sum(value).alias("__step"))
     amount = {into: F.coalesce(F.col("__step"), F.lit(0))}
-    run = ordered.running_sums(steps, keys, ts, amount, ordered.time_block(ts, stretch), hot_rows=hot_rows)
+    run = ordered.running_sums(steps, keys, ts, amount, ordered.time_block(ts, stretch), hot_rows=hot_rows, counted=df)
     names = [*keys, ts]
     right = run.select(*[F.col(c).alias(f"__{c}") for c in names], into)
     same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in names]

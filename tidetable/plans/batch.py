@@ -235,7 +235,7 @@ def panes_emit_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same averages after every event, kept where they differ from the user's previous emission."""
     steps = events(spark, sf_dir).select("event_id", "ts", "user_id", value_class())
     panes = running.average_panes(steps, "ts", ["user_id"], "step", "event_id", "1 day", "avg_step")
-    changed = running.emit_on_change(panes, ["user_id"], "event_id", "avg_step")
+    changed = running.emit_on_change(panes, ["user_id"], "event_id", "avg_step", counted=steps)
     return changed.select("event_id", "user_id", *WINDOW, "avg_step")
 
 
