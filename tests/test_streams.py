@@ -10,6 +10,7 @@ import pytest
 from tidetable import schemas
 from tidetable.functions import timewin
 from tidetable.operators import windowed
+from tidetable.operators.changelog import versions_changelog
 from tidetable.session import shared_folder, streaming_session
 from tidetable.sources import files, lines
 from tidetable.streaming import carry, jobs, run, sinks, stateful
@@ -67,6 +68,12 @@ def test_update_mode_emits_one_result_per_record_at_one_record_per_batch(session
     run.drain(averages(bills_stream(session, path)), sinks.batch_folders(f"{folder}/out"), f"{folder}/cp", "update")
     held = sinks.read_batches(session, f"{folder}/out").orderBy("batch").select("userId", "avg").collect()
     assert [tuple(r) for r in held] == [("bill", 10.0), ("alice", 20.0), ("bill", 15.0), ("tom", 50.0), ("bill", 80.0)]
+    versions = sinks.read_batches(session, f"{folder}/out")
+    log = versions_changelog(versions, ["userId", "w_start", "w_end"], "batch").orderBy("batch", "op")
+    assert [tuple(r) for r in log.select("op", "userId", "avg").collect()] == [
+        (True, "bill", 10.0), (True, "alice", 20.0), (False, "bill", 10.0), (True, "bill", 15.0),
+        (True, "tom", 50.0), (True, "bill", 80.0),
+    ]
 
 
 def test_late_rows_drop_and_lateness_keeps_them(session, folder):
@@ -200,8 +207,11 @@ def test_early_page_views_and_visitors(session, folder):
     )
     pv = sinks.read_batches(session, f"{folder}/pv").orderBy("batch").collect()
     assert [(r["date"], r["pv"]) for r in pv] == [("111", 1), ("111", 2), ("111", 3), ("222", 1)]
-    uv = sinks.read_upserts(session, f"{folder}/uv", ["date"]).collect()
-    assert sorted(tuple(r) for r in uv) == [("111", 2), ("222", 1)]
+    dealt = jobs.early_visitors(parsed, ["date"], "eventId", salts=3, salt_by="timestamp")
+    run.drain(dealt, sinks.batch_folders(f"{folder}/dealt"), f"{folder}/cp-dealt", "update")
+    for name in ("uv", "dealt"):
+        uv = sinks.read_upserts(session, f"{folder}/{name}", ["date"]).collect()
+        assert sorted(tuple(r) for r in uv) == [("111", 2), ("222", 1)]
 
 
 def test_shared_folder_needs_a_setting_off_the_local_master(spark):

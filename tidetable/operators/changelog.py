@@ -116,6 +116,25 @@ def apply_changelog(log: DataFrame, keys: Sequence[str], seq: str, op: str = "op
     return last.where(F.col("__last")[op]).select(*keys, *[F.col("__last")[v].alias(v) for v in values])
 
 
+def versions_changelog(versions: DataFrame, keys: Sequence[str], version: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Change-log of an update-mode result kept as numbered versions: each new version retracts the one before.
+
+    Versions of a key that equal their predecessor emit nothing.
+    """
+    values = [c for c in versions.columns if c not in (*keys, version)]
+    row = F.struct(*values)
+    block = ordered.number_block(version)
+    seen = ordered.with_previous(versions, keys, version, row, "__previous", block, hot_rows)
+    known = F.col("__previous").isNotNull()
+    changed = seen.where(~known | ~F.col("__previous")["v"].eqNullSafe(row))
+    emitted = F.array(
+        F.struct(F.lit(False).alias("op"), F.col("__previous")["v"].alias("row"), known.alias("shown")),
+        F.struct(F.lit(True).alias("op"), row.alias("row"), F.lit(True).alias("shown")),
+    )
+    log = changed.select(*keys, version, F.explode(emitted).alias("__change")).where("__change.shown")
+    return log.select("__change.op", *keys, version, "__change.row.*")
+
+
 def latest_by_key(versions: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
     """The newest version of each key from a table of appended versions."""
     values = [c for c in versions.columns if c not in (*keys, version)]

@@ -170,8 +170,9 @@ def stream_pvuv_tumble(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_pvuv_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page views and unique visitors per hour label as results that keep updating; newest value per hour."""
     replay = Replay.of(spark, sf_dir, "events", "ts")
-    labelled = replay.stream().select("user_id", timewin.hour_label("ts").alias("dt"))
-    parts = {"pv": jobs.early_views(labelled, ["dt"]), "uv": jobs.early_visitors(labelled, ["dt"], "user_id")}
+    labelled = replay.stream().select("event_id", "user_id", timewin.hour_label("ts").alias("dt"))
+    visitors = jobs.early_visitors(labelled, ["dt"], "user_id", salts=8, salt_by="event_id")
+    parts = {"pv": jobs.early_views(labelled, ["dt"]), "uv": visitors}
     for name, part in parts.items():
         run.drain(part, sinks.batch_folders(f"{replay.folder}/{name}"), f"{replay.checkpoint}-{name}", "update")
     views, visitors = [sinks.read_upserts(replay.caller, f"{replay.folder}/{name}", ["dt"]) for name in parts]

@@ -28,10 +28,19 @@ def early_views(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("pv"))
 
 
-def early_visitors(df: DataFrame, keys: Sequence[str], visitor: str) -> DataFrame:
-    """Exact unique visitors so far per key, for update mode: first sightings are counted as they come."""
-    firsts = df.where(F.col(visitor).isNotNull()).dropDuplicates([*keys, visitor])
-    return firsts.groupBy(*keys).agg(F.count("*").alias("uv"))
+def early_visitors(
+    df: DataFrame, keys: Sequence[str], visitor: str, salts: int = 1, salt_by: str | None = None
+) -> DataFrame:
+    """Exact unique visitors so far per key, for update mode: first sightings are counted as they come.
+
+    For a visitor that may hold a large share of the rows, ``salts`` first removes its repeats within that many shares,
+    dealt by the column ``salt_by``; the second removal then sees at most one row per share.
+    """
+    known = df.where(F.col(visitor).isNotNull())
+    if salts > 1:
+        dealt = known.withColumn("__salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
+        known = dealt.dropDuplicates([*keys, visitor, "__salt"])
+    return known.dropDuplicates([*keys, visitor]).groupBy(*keys).agg(F.count("*").alias("uv"))
 
 
 def top_k_sink(path: str, window: Sequence[str], count: str, item: str, k: int = 5):
