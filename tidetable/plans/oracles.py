@@ -297,6 +297,8 @@ SELECT o_custkey, o_orderpriority, o_totalprice FROM orders
 WHERE o_orderstatus IN ('F', 'O') AND o_totalprice > 200000
 """
 
+PAYLOAD_TOTALS = f"SELECT '(' || event_type || ',' || total || ')' AS value FROM ({CARRIED_TOTAL})"
+
 ORACLES = {
     "hot_items_topk": HOT_ITEMS,
     "hot_items_report": REPORT,
@@ -345,7 +347,7 @@ SELECT event_type AS word, CAST(user_id AS INTEGER) AS frequency, event_id * 100
     "line_fields": """
 SELECT CAST(user_id AS VARCHAR) AS "userId", value AS price, event_id * 1000 AS timestamp FROM events
 """,
-    "payload_totals": f"SELECT '(' || event_type || ',' || total || ')' AS value FROM ({CARRIED_TOTAL})",
+    "payload_totals": PAYLOAD_TOTALS,
     "json_tumble": JSON_TUMBLE,
     "stream_hot_items": HOT_ITEMS,
     "stream_hot_items_timer": f"SELECT w_end, rank, item_id AS item, views AS n FROM ({HOT_ITEMS})",
@@ -360,6 +362,8 @@ SELECT CAST(user_id AS VARCHAR) AS "userId", value AS price, event_id * 1000 AS
     "stream_avg_emit_on_change": AVG_ON_CHANGE,
     "stream_running_total": RUNNING_TOTAL,
     "stream_carried_total": CARRIED_TOTAL,
+    "stream_payload_totals": PAYLOAD_TOTALS,
+    "stream_text_avg": WINDOW_AVG,
     "stream_sum_retract": SUM_RETRACT,
     "stream_apply_changelog": SUM_TABLE,
     "stream_word_count": WORD_COUNT_TUMBLE,

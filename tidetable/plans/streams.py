@@ -16,7 +16,7 @@ from tidetable.functions import timewin
 from tidetable.operators import changelog, joins, rows, windowed
 from tidetable.plans.tables import cents, of_type, region_orders, table, utc_wall, value_class
 from tidetable.session import shared_folder, streaming_session
-from tidetable.sources import files, kafka
+from tidetable.sources import files, kafka, lines
 from tidetable.streaming import carry, jobs, run, sinks, stateful
 
 WINDOW = ["w_start", "w_end"]
@@ -210,6 +210,38 @@ def stream_carried_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.closed(jobs.carried_total(sums, "event_type", "total"))
 
 
+def stream_payload_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comma-separated payloads decoded, summed per closed hour, carried over and encoded as ``(word,total)``."""
+    replay = Replay.of(spark, sf_dir, "events", "ts")
+    fields = [F.col("event_type"), cents("value"), F.unix_millis("ts")]
+    payload = F.concat_ws(",", *[f.cast("string") for f in fields])
+    messages = replay.stream().select(F.encode(payload, "UTF-8").alias("value"))
+    parsed = lines.parse_csv_payload(messages, schemas.WORD_EVENT)
+    stamped = timewin.with_event_time(parsed, "timestamp", "ms", delay="1 second")
+    sums = windowed.window_aggregate(stamped, "ts", ["word"], {"total": ("sum", "frequency")}, "1 hour")
+    encoded = kafka.pair_messages(jobs.carried_total(sums, "word", "total"), "word", "total")
+    return replay.closed(encoded, event_type=["flush"], value=[0.0])
+
+
+def stream_text_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of text that appear in a folder, parsed to bills and averaged per user and closed day."""
+    session, folder = streaming_session(spark), shared_folder(spark)
+    source = table(session, sf_dir, "events").select("user_id", cents("value"), F.unix_millis(F.col("ts").cast("timestamp")))
+    source.select(F.concat_ws(" \t", *[F.col(c).cast("string") for c in source.columns])).write.text(f"{folder}/lines")
+    bills = lines.parse_fields(lines.stream_lines(session, f"{folder}/lines"), schemas.BILL)
+    stamped = timewin.with_event_time(bills, "timestamp", "ms", delay="0 seconds")
+    averages = windowed.window_aggregate(stamped, "ts", ["userId"], {"avg_cents": ("avg", "price")}, "1 day")
+    named = averages.select(F.col("userId").cast("bigint").alias("user_id"), *WINDOW, "avg_cents")
+
+    def flush() -> None:
+        last = source.agg(F.max(source.columns[-1]) + timewin.micros_of("1000 days") // 1000)
+        last.select(F.concat(F.lit("0 0 "), F.col(last.columns[0]).cast("string"))).write.mode("append").text(f"{folder}/lines")
+
+    run.drain_and_flush(named, sinks.file_sink(f"{folder}/out"), f"{folder}/checkpoint", flush)
+    held = spark.read.parquet(f"{folder}/out")
+    return held.withColumns({name: utc_wall(name) for name in WINDOW})
+
+
 def stream_sum_retract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every update of the sum per type as retraction and addition, continued across micro-batches."""
     replay = Replay.of(spark, sf_dir, "events", "ts")
@@ -229,8 +261,8 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of arriving documents per five-minute window."""
     arrival = F.timestamp_seconds("doc_id")
     replay = Replay.of(spark, sf_dir, "documents", "doc_id")
-    lines = files.stream_table(replay.spark, replay.path, replay.schema).select(arrival.alias("arrival"), "text")
-    counted = windowed.word_count(lines.withWatermark("arrival", "0 seconds"), "text", "arrival", "5 minutes")
+    arrived = files.stream_table(replay.spark, replay.path, replay.schema).select(arrival.alias("arrival"), "text")
+    counted = windowed.word_count(arrived.withWatermark("arrival", "0 seconds"), "text", "arrival", "5 minutes")
     run.drain(counted, sinks.batch_folders(replay.out), replay.checkpoint, "update")
     newest = sinks.read_upserts(replay.caller, replay.out, ["word", *WINDOW])
     return newest.withColumns({name: utc_wall(name) for name in WINDOW})
@@ -305,6 +337,8 @@ QUERIES = {
         stream_avg_emit_on_change,
         stream_running_total,
         stream_carried_total,
+        stream_payload_totals,
+        stream_text_avg,
         stream_sum_retract,
         stream_apply_changelog,
         stream_word_count,
