@@ -89,6 +89,12 @@ def starts(ts: str, size: str, slide: str | None = None, into: str = "w_start")
     return window["start"].alias(into)
 
 
+def shifts(size: str, slide: str) -> Column:
+    """How far before a slide-wide slice the overlapping windows that cover it start."""
+    step = micros_of(slide)
+    return F.array(*[_interval(back) for back in range(0, micros_of(size), step)])
+
+
 def bounds(size: str, slide: str | None = None, of: str = "w", start: str = "w_start", end: str = "w_end") -> list[Column]:
     """Start and end columns of an attached window."""
     w = F.col(of)

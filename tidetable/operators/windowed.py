@@ -65,7 +65,14 @@ def _sliced(df: DataFrame, ts: str, keys: Sequence[str], measures: Measures, siz
     slices = df.groupBy(timewin.starts(ts, slide).alias("__slice"), *keys).agg(
         *[piece.alias(name) for name, (piece, _) in parts.items()]
     )
-    merged = slices.groupBy(timewin.starts("__slice", size, slide), *keys).agg(
+    if keys:
+        # The slices of a key meet before they are copied, so the copies need no shuffle of their own. The number is
+        # given, because run-time coalescing would judge by the size before copying.
+        slices = slices.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    panes = slices.select("*", F.explode(timewin.shifts(size, slide)).alias("__shift")).withColumn(
+        "w_start", F.col("__slice") - F.col("__shift")
+    )
+    merged = panes.groupBy("w_start", *keys).agg(
         *[{"sum": F.sum, "min": F.min, "max": F.max}[how](name).alias(name) for name, (_, how) in parts.items()]
     )
     outputs = [
