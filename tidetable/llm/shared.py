@@ -66,3 +66,34 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = column.buffers()[2]
     held = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     return held[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+SLOT_BITS = 24
+
+
+def _slot(key: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(key), 64 - SLOT_BITS)
+
+
+def flagged(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """``df`` with ``__flag``: false only where ``key`` is surely not among ``keys`` (one column of the same type).
+
+    The broadcast is a bitmap of ``2 ** SLOT_BITS`` bits, 2^18 rows of 64 bits at most whatever the number of keys. Rows
+    without the flag need no shuffle; a join decides about the others. With more keys more rows get the flag.
+    """
+    slot = _slot(F.col(keys.columns[0]))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
+    words = materialize(keys.groupBy(F.shiftright(slot, 6).alias("__word")).agg(F.bit_or(bit).alias("__bits")))
+    marked = df.withColumn("__slot", _slot(key))
+    joined = marked.join(F.broadcast(words), F.shiftright("__slot", 6) == F.col("__word"), "left")
+    hit = F.getbit("__bits", F.col("__slot").bitwiseAND(F.lit(63)).cast("int")) == 1
+    return joined.withColumn("__flag", F.coalesce(hit, F.lit(False))).drop("__slot", "__word", "__bits")
+
+
+def without(df: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is not in ``dropped`` (one column); only rows that may be are shuffled."""
+    gone = dropped.select(F.col(dropped.columns[0]).alias("__gone"))
+    marked = flagged(df, F.col(key), gone)
+    free = marked.where(~F.col("__flag")).drop("__flag")
+    unsure = marked.where("__flag").drop("__flag")
+    return free.unionByName(unsure.join(gone, F.col(key) == F.col("__gone"), "left_anti"))
