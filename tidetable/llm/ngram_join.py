@@ -58,8 +58,8 @@ def sets_of(texts: list[bytes]) -> list[np.ndarray]:
         if b - a >= WORDS:
             found.append(np.unique(whole[a : b - WORDS + 1]))
         elif b > a:
-            short = sum((words[a + k] * _FACTORS[k] for k in range(b - a)), np.uint64(0))
-            found.append(mixed(np.array([short], np.uint64), b - a))
+            short = (words[a:b] * np.array(_FACTORS[: b - a])).sum(keepdims=True)
+            found.append(mixed(short, b - a))
         else:
             found.append(np.zeros(0, np.uint64))
     return found
@@ -259,9 +259,10 @@ def crossing_pairs(block: Block, roots: np.ndarray) -> Iterator[tuple[int, int]]
 
 def _pairs(first_round: bool):
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches)
-        if not table.num_rows:
+        parts = [batch for batch in batches if batch.num_rows]
+        if not parts:
             return
+        table = pa.Table.from_batches(parts)
         blocks, names, sizes = (table.column(c).to_numpy() for c in ("block", "class", "n"))
         roots = table.column("root").to_numpy()
         order = np.lexsort((names, blocks))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidetable.llm import byte_bpe, chat, exact_dedup, ngram_join, packing, secret_scan, topk_search
+from tidetable.llm import byte_bpe, chat, exact_dedup, ngram_join, packing, secret_scan, suffix_dedup, topk_search
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.without_repeats(_table(spark, sf_dir, "documents")))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -46,6 +50,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_packing": op3_packing,
     "op4_topk_search": op4_topk_search,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_ngram_join": op7_ngram_join,
     "op8_secret_scan": op8_secret_scan,
