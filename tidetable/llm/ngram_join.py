@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidetable.llm.components import components
 from tidetable.llm.hashing import mixed, prefix_sums, stretch
-from tidetable.llm.shared import SLOT_BITS, materialize, shuffle_partitions, ship, slices, text_of
+from tidetable.llm.shared import SLOT_BITS, materialize, shuffle_partitions, ship, slices, text_of, without
 
 WORDS = 5
 RARITY_BITS = 20
@@ -374,3 +374,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return joined.select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
+
+
+def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows that stay, with all their columns: those with the smallest id of their component, and all without id."""
+    others = near_duplicates(docs, doc_id, text).where("doc_id <> component_id").select("doc_id").distinct()
+    return without(docs, doc_id, materialize(others))
