@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidetable.llm import byte_bpe, chat, exact_dedup, ngram_join, packing, quality, secret_scan, suffix_dedup, topk_search
+from tidetable.llm import byte_bpe, chat, exact_dedup, ngram_join, packing, page_text, quality, secret_scan, suffix_dedup, topk_search
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(_table(spark, sf_dir, "documents"))
 
 
+def op2_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extracted(_table(spark, sf_dir, "pages"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_page_text": op2_page_text,
     "op3_packing": op3_packing,
     "op4_topk_search": op4_topk_search,
     "op5_suffix_dedup": op5_suffix_dedup,
