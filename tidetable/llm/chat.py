@@ -40,7 +40,7 @@ class Many:
 
 _NAMES = (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"))
 
-#: Field paths of a layout, one per line and sorted, and the rules that give its turns in order.
+#: Field paths of a layout and the rules that give its turns in order.
 LAYOUTS: dict[tuple[str, ...], tuple[One | Many, ...]] = {
     ("messages", "messages[].content", "messages[].role"): (Many("messages", "role", "content"),),
     ("conversations", "conversations[].from", "conversations[].value"): (Many("conversations", "from", "value", _NAMES),),
@@ -101,7 +101,7 @@ def canonical(records: DataFrame, record: str = "record") -> DataFrame:
     marked = marked.withColumn("fingerprint", fingerprint(F.col("__paths")))
     turns = F.lit(None).cast(TURNS)
     for paths, rules in LAYOUTS.items():
-        known = fingerprint(F.array(*map(F.lit, paths)))
+        known = fingerprint(F.array(*map(F.lit, sorted(paths))))
         turns = F.when(F.col("fingerprint") == known, F.concat(*[_rule(F.col("__record"), r) for r in rules])).otherwise(turns)
     return marked.withColumn("turns", turns).drop("__paths", "__record")
 

@@ -78,10 +78,10 @@ def _tiles(k: int):
             out: list[tuple[int, int, int, list[dict]]] = []
             for row in batch.to_pylist():
                 width = row["width"]
-                queries = np.frombuffer(row["q_vectors"], np.int64).reshape(-1, width)
-                vectors = np.frombuffer(row["vectors"], np.int64).reshape(-1, width)
                 ids, marks = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["marks"], np.int64)
                 q_ids, q_marks = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["q_marks"], np.int64)
+                queries = np.frombuffer(row["q_vectors"], np.int64).reshape(len(q_ids), width)
+                vectors = np.frombuffer(row["vectors"], np.int64).reshape(len(ids), width)
                 most = float(np.abs(queries.astype(float)).max(initial=0)) * float(np.abs(vectors.astype(float)).max(initial=0))
                 if most * max(width, 1) < 2**53:
                     scores = (queries.astype(float) @ vectors.astype(float).T).astype(np.int64)
