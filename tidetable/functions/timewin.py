@@ -8,7 +8,6 @@ from __future__ import annotations
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import TimestampNTZType, TimestampType
 
 _UNIT_MICROS = {
     "microsecond": 1,
@@ -91,8 +90,9 @@ def starts(ts: str, size: str, slide: str | None = None, into: str = "w_start")
 
 def shifts(size: str, slide: str) -> Column:
     """How far before a slide-wide slice the overlapping windows that cover it start."""
-    step = micros_of(slide)
-    return F.array(*[_interval(back) for back in range(0, micros_of(size), step)])
+    last = micros_of(size) - micros_of(slide)
+    numbers = F.sequence(F.lit(0), F.lit(last), F.lit(micros_of(slide)))
+    return F.transform(numbers, lambda back: F.make_dt_interval(secs=back / F.lit(1_000_000).cast("decimal(18,6)")))
 
 
 def bounds(size: str, slide: str | None = None, of: str = "w", start: str = "w_start", end: str = "w_end") -> list[Column]:
@@ -100,8 +100,3 @@ def bounds(size: str, slide: str | None = None, of: str = "w", start: str = "w_s
     w = F.col(of)
     last = w["start"] + interval(size) if is_gapped(size, slide) else w["end"]
     return [w["start"].alias(start), last.alias(end)]
-
-
-def is_time(df: DataFrame, name: str) -> bool:
-    """Whether a column already is a timestamp of either kind."""
-    return isinstance(df.schema[name].dataType, (TimestampType, TimestampNTZType))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from tidetable.operators import ordered
-from tidetable.operators.ordered import BEFORE_ALL, BLOCK_WIDTH, HOT_ROWS
+from tidetable.operators.ordered import BEFORE_ALL, BLOCK_WIDTH
 
 # result column -> (function, column)
 Measures = Mapping[str, tuple[str, str]]
@@ -30,7 +30,8 @@ def _steps(df: DataFrame, keys: Sequence[str], seq: str, measures: Measures) ->
         if fn == "sum":
             if isinstance(df.schema[col].dataType, (FloatType, DoubleType)):
                 raise ValueError(f"sum of {col}: cast to an integral or decimal type first")
-            state[f"__new_{name}"] = F.coalesce(F.col(col), F.lit(0))
+            kind = ordered.sum_type(df, F.col(col))
+            state[f"__new_{name}"] = F.coalesce(F.col(col).cast(kind), F.lit(0).cast(kind))
             state[f"__set_{name}"] = F.col(col).isNotNull().cast("long")
         elif fn == "count":
             counted = F.col("__record") if col == "*" else F.col(col).isNotNull().cast("int") * F.col("__record")
@@ -47,7 +48,6 @@ def aggregate_changelog(
     measures: Measures,
     emit_unchanged: bool = False,
     opening: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
     width: int = BLOCK_WIDTH,
 ) -> DataFrame:
     """All updates of ``GROUP BY keys`` as records arrive: ``op, keys, seq, *measures``.
@@ -66,16 +66,15 @@ def aggregate_changelog(
         keys,
         seq,
         {name: F.col(name) for name in state},
-        ordered.number_block(seq, width),
         peers=True,
         step_suffix="__step",
-        hot_rows=hot_rows,
-        counted=df,
+        width=width,
     ).where("__record = 1")
+    types = {f.name: f.dataType for f in run.schema}
 
     def result(before: bool) -> list:
         def at(name):
-            return F.col(name) - F.col(f"{name}__step") if before else F.col(name)
+            return (F.col(name) - F.col(f"{name}__step")).cast(types[name]) if before else F.col(name)
 
         return [
             (F.when(at(f"__set_{name}") > 0, at(f"__new_{name}")) if fn == "sum" else at(f"__new_{name}")).alias(name)
@@ -90,7 +89,8 @@ def aggregate_changelog(
         F.struct(F.lit(True).alias("op"), F.col("__new").alias("row")),
     )
     log = pairs.select(*keys, seq, "__rows", F.explode(emitted).alias("__change"))
-    return log.where("__change.op or __rows > 1").select("__change.op", *keys, seq, "__change.row.*")
+    shown = log.where("__change.op or __rows > 1").select("__change.op", *keys, seq, "__change.row.*")
+    return ordered.typed_like(shown, df.select(*keys, seq))
 
 
 def closing_state(
@@ -106,7 +106,9 @@ def closing_state(
     steps = steps.select(*keys, *state)
     if opening is not None:
         steps = steps.unionByName(opening)
-    return steps.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in state])
+    types = {f.name: f.dataType for f in steps.schema}
+    closed = steps.groupBy(*keys).agg(*[F.sum(name).cast(types[name]).alias(name) for name in state])
+    return ordered.typed_like(closed, df.select(*keys))
 
 
 def apply_changelog(log: DataFrame, keys: Sequence[str], seq: str, op: str = "op") -> DataFrame:
@@ -116,15 +118,14 @@ def apply_changelog(log: DataFrame, keys: Sequence[str], seq: str, op: str = "op
     return last.where(F.col("__last")[op]).select(*keys, *[F.col("__last")[v].alias(v) for v in values])
 
 
-def versions_changelog(versions: DataFrame, keys: Sequence[str], version: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def versions_changelog(versions: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
     """Change-log of an update-mode result kept as numbered versions: each new version retracts the one before.
 
     Versions of a key that equal their predecessor emit nothing.
     """
     values = [c for c in versions.columns if c not in (*keys, version)]
     row = F.struct(*values)
-    block = ordered.number_block(version)
-    seen = ordered.with_previous(versions, keys, version, row, "__previous", block, hot_rows)
+    seen = ordered.with_previous(versions, keys, version, row, "__previous")
     known = F.col("__previous").isNotNull()
     changed = seen.where(~known | ~F.col("__previous")["v"].eqNullSafe(row))
     emitted = F.array(

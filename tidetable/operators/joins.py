@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidetable.functions import timewin
 from tidetable.operators import ordered
-from tidetable.operators.ordered import BLOCK_WIDTH, HOT_ROWS
+from tidetable.operators.ordered import BLOCK_WIDTH
 
 
 def _windowed(df: DataFrame, ts: str, size: str) -> DataFrame:
@@ -67,7 +67,6 @@ def window_join_panes(
     size: str,
     how: str = "inner",
     zero_time: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
     width: int = BLOCK_WIDTH,
 ) -> DataFrame:
     """Window join that fires at every arrival and re-emits all pairs its key and window hold by then.
@@ -87,11 +86,18 @@ def window_join_panes(
 
     arrivals = placed(left, left_ts, True).unionByName(placed(right, right_ts, False), allowMissingColumns=True)
     step = {"__pane": F.lit(1).cast("long")}
-    block = ordered.number_block(seq, width)
-    numbered = ordered.running_sums(arrivals, groups, seq, step, block, hot_rows=hot_rows)
-    sizes = arrivals.groupBy(*groups).agg(F.count("*").alias("__panes"))
+    numbered = ordered.running_sums(arrivals, groups, seq, step, width=width)
+    # the last pane and the first right one of every group, null keys too
+    spans = numbered.groupBy(*groups).agg(
+        F.max("__pane").alias("__panes"), F.min(F.when(~F.col("__left"), F.col("__pane"))).alias("__match")
+    )
+    spans = spans.withColumnsRenamed({c: f"__of_{c}" for c in groups})
+    same_group = F.lit(True)
+    for c in groups:
+        same_group = same_group & F.col(c).eqNullSafe(F.col(f"__of_{c}"))
 
-    numbered_left = numbered.where("__left").select("w_start", "__pane", *left.columns).join(sizes, groups)
+    numbered_left = numbered.where("__left").select("w_start", "__pane", *left.columns)
+    numbered_left = numbered_left.join(spans, same_group).drop(*[f"__of_{c}" for c in groups])
     numbered_right = numbered.where("not __left").select("w_start", "__pane", *right.columns)
     numbered_right = numbered_right.withColumnsRenamed({"__pane": "__right_pane", seq: f"right_{seq}"})
 
@@ -104,13 +110,11 @@ def window_join_panes(
     )
     if how == "inner":
         return pairs
-    first_match = numbered_right.groupBy(*groups).agg(F.min("__right_pane").alias("__match"))
-    until = F.coalesce(F.col("__match") - 1, F.col("__panes"))
-    alone = (
-        numbered_left.join(first_match, groups, "left")
-        .select(key, *bounds, *columns, F.col("__pane").alias("first_pane"), (until - F.col("__pane") + 1).alias("fires"))
-        .where("fires > 0")
-    )
+    # rows of a null key match nothing and show to the end
+    until = F.when(F.col(key).isNull(), F.col("__panes")).otherwise(F.coalesce(F.col("__match") - 1, F.col("__panes")))
+    alone = numbered_left.select(
+        key, *bounds, *columns, F.col("__pane").alias("first_pane"), (until - F.col("__pane") + 1).alias("fires")
+    ).where("fires > 0")
     both = pairs.unionByName(alone, allowMissingColumns=True)
     return both.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in zero_time})
 
@@ -169,10 +173,12 @@ def dimension_join(rows: DataFrame, dimension: DataFrame, on: Column, how: str =
 
 
 def cross_where(rows: DataFrame, dimension: DataFrame, condition: str) -> DataFrame:
-    """Product of two tables filtered by a text condition; the optimizer turns its equalities into join keys."""
-    return rows.join(dimension, how="inner").where(condition)
+    """Product of two tables filtered by a text condition; the optimizer turns its equalities into join keys.
 
-
-def snapshot(dimension: DataFrame) -> DataFrame:
-    """Read the dimension once and serve all micro-batches from that copy; without it each one reads anew."""
-    return dimension.cache()
+    A condition that leaves a true product, for want of an equality between the two, is refused.
+    """
+    joined = rows.join(dimension, how="inner").where(condition)
+    operators = joined._jdf.queryExecution().sparkPlan().toString()
+    if "CartesianProduct" in operators or "BroadcastNestedLoopJoin" in operators:
+        raise ValueError(f"no equality between the two tables in: {condition}")
+    return joined

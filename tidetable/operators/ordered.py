@@ -1,12 +1,11 @@
 """Running values along an order, safe for keys that hold a large share of all rows.
 
-A window function puts all rows of one key into one task. Keys with more than ``hot_rows`` rows are therefore cut
-into blocks along their order: values run inside each block, one pre-aggregated row per block runs over the blocks of
-the key, and every row adds what its block starts from. All other keys stay in one piece.
-
-The caller names the block of a row as a column that never decreases along the order, such as `number_block` of a
-unique arrival number, so a block holds at most ``width`` rows however skewed the keys are. The list of hot keys is
-the only broadcast: a table of N rows has at most ``N / hot_rows`` of them.
+A window function puts all rows of one key into one task. Every key is therefore cut into blocks along its order:
+values run inside each block, one pre-aggregated row per block runs over the blocks of a larger block, those over the
+key, and every row adds what its block starts from. A block is a range of ``width`` order numbers (a time counts in
+microseconds), a larger block one of ``width ** 2``, so with a unique arrival number no task gets more than ``width`` rows
+at the two lower levels, be the numbers dense or sparse; three levels of the default width span 64 bits. All keys go
+this one way, whatever their size. Rows without an order come first.
 """
 
 from __future__ import annotations
@@ -14,41 +13,50 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DataType, DateType, DecimalType, TimestampNTZType, TimestampType
 
-HOT_ROWS = 1 << 20
-BLOCK_WIDTH = 1 << 20
+BLOCK_WIDTH = 1 << 22
 # an order number in front of every arrival number
 BEFORE_ALL = -(1 << 62)
 
-_KEY, _BLOCK = "__key", "__block"
+_KEY, _PLACE, _BLOCK, _LARGE = "__key", "__place", "__block", "__large"
+_LEAST = -(1 << 63)
 
 
-def number_block(order: str, width: int = BLOCK_WIDTH) -> Column:
-    """Block of an integral order column."""
-    return F.floor(F.col(order) / F.lit(width)).cast("long")
+def _number(df: DataFrame, order: str) -> Column:
+    """The order column as a long that grows with it; null in front."""
+    column, kind = F.col(order), df.schema[order].dataType
+    if isinstance(kind, DateType):
+        column = F.unix_date(column)
+    elif isinstance(kind, TimestampType):
+        column = F.unix_micros(column)
+    elif isinstance(kind, TimestampNTZType):  # by its fields, so that no zone is involved
+        minutes = F.hour(column) * 60 + F.minute(column)
+        seconds = (F.extract(F.lit("SECOND"), column) * 1_000_000).cast("long")
+        days = F.unix_date(column.cast("date")).cast("long")
+        column = (days * 1440 + minutes) * 60_000_000 + seconds
+    return F.coalesce(column.cast("long"), F.lit(_LEAST))
 
 
-def time_block(ts: str, duration: str) -> Column:
-    """Block of a time column: the epoch-aligned stretch of ``duration`` it lies in."""
-    return F.window(ts, duration)["start"]
+def _placed(df: DataFrame, keys: Sequence[str], order: str, width: int) -> DataFrame:
+    bits = max(width - 1, 1).bit_length()
+    place = df.select("*", F.struct(*keys).alias(_KEY), _number(df, order).alias(_PLACE))
+    return place.select("*", F.shiftright(_PLACE, bits).alias(_BLOCK), F.shiftright(_PLACE, 2 * bits).alias(_LARGE))
 
 
-def _blocked(
-    df: DataFrame, keys: Sequence[str], block: Column, hot_rows: int, counted: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """All rows with key and block (null for keys in one piece), and just the rows of the hot keys."""
-    key = F.struct(*keys).alias(_KEY)
-    sizes = (df if counted is None else counted).groupBy(key).agg(F.count("*").alias("__n"))
-    hot = F.broadcast(sizes.where(F.col("__n") > hot_rows).select(F.col(_KEY).alias("__hot")))
-    keyed, matches = df.select("*", key), F.col(_KEY) == F.col("__hot")
-    placed = keyed.join(hot, matches, "left").withColumn(_BLOCK, F.when(F.col("__hot").isNotNull(), block))
-    return placed.drop("__hot"), keyed.join(hot, matches).withColumn(_BLOCK, block).drop("__hot")
+def _with_carry(rows: DataFrame, carry: DataFrame, *places: str) -> DataFrame:
+    """Rows with what their block starts from; every block is in ``carry``."""
+    right = carry.withColumnsRenamed({c: f"__c{c}" for c in (_KEY, *places)})
+    same = F.lit(True)
+    for c in (_KEY, *places):
+        same = same & (F.col(c) == F.col(f"__c{c}"))
+    return rows.join(right, same, "left").drop(*[f"__c{c}" for c in (_KEY, *places)])
 
 
-def _with_carry(local: DataFrame, carry: DataFrame) -> DataFrame:
-    right = carry.withColumnsRenamed({_KEY: "__ckey", _BLOCK: "__cblock"})
-    same = (F.col(_KEY) == F.col("__ckey")) & (F.col(_BLOCK) == F.col("__cblock"))
-    return local.join(right, same, "left").drop("__ckey", "__cblock")
+def sum_type(df: DataFrame, expression: Column) -> DataType:
+    """The type of running totals: that of the sum, with a digit to spare so that adding two keeps all decimals."""
+    kind = df.select(F.sum(expression).alias("s")).schema["s"].dataType
+    return DecimalType(min(kind.precision, 37), kind.scale) if isinstance(kind, DecimalType) else kind
 
 
 def running_sums(
@@ -56,55 +64,70 @@ def running_sums(
     keys: Sequence[str],
     order: str,
     sums: Mapping[str, Column],
-    block: Column,
     peers: bool = False,
     step_suffix: str | None = None,
-    hot_rows: int = HOT_ROWS,
-    counted: DataFrame | None = None,
+    width: int = BLOCK_WIDTH,
 ) -> DataFrame:
     """Add, per key and along ``order``, the running total of each non-null expression in ``sums``.
 
     With ``peers`` rows of equal order share one total (a range frame), otherwise each row is a step of its own.
-    ``step_suffix`` also adds what that last step contributed, under the total's name plus the suffix. ``counted`` is a
-    cheaper table to find the hot keys in, such as the records that ``df`` was made from.
+    ``step_suffix`` also adds what that last step contributed, under the total's name plus the suffix.
     """
-    blocked, hot = _blocked(df, keys, block, hot_rows, counted)
-    steps = Window.partitionBy(_KEY, _BLOCK).orderBy(order)
+    types = {name: sum_type(df, e) for name, e in sums.items()}
+    placed = _placed(df, keys, order, width)
+    steps = Window.partitionBy(_KEY, _BLOCK).orderBy(_PLACE)
     between = steps.rangeBetween if peers else steps.rowsBetween
     frame = between(Window.unboundedPreceding, Window.currentRow)
     own = between(Window.currentRow, Window.currentRow)
-    local = blocked.select(
+    local = placed.select(
         "*",
-        *[F.sum(e).over(frame).alias(f"__in_{name}") for name, e in sums.items()],
-        *[F.sum(e).over(own).alias(name + step_suffix) for name, e in sums.items() if step_suffix],
+        *[F.sum(e).over(frame).cast(types[name]).alias(f"__in_{name}") for name, e in sums.items()],
+        *[F.sum(e).over(own).cast(types[name]).alias(name + step_suffix) for name, e in sums.items() if step_suffix],
     )
 
-    totals = hot.groupBy(_KEY, _BLOCK).agg(*[F.sum(e).alias(f"__of_{name}") for name, e in sums.items()])
-    before = Window.partitionBy(_KEY).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(_KEY, _BLOCK, *[F.sum(f"__of_{name}").over(before).alias(f"__to_{name}") for name in sums])
-
-    finished = {name: F.col(f"__in_{name}") + F.coalesce(F.col(f"__to_{name}"), F.lit(0)) for name in sums}
-    kept = [c for c in df.columns if c not in finished]
+    def added(*parts: str):
+        """Columns summed name by name; a missing one is nothing."""
+        for name, kind in types.items():
+            total = F.lit(0).cast(kind)
+            for part in parts:
+                total = (total + F.coalesce(F.col(part + name), F.lit(0).cast(kind))).cast(kind)
+            yield name, total
+
+    def before(level: str, by: str, place: str) -> list[Column]:
+        """What the rows in front of this one, within ``by``, add up to."""
+        ahead = Window.partitionBy(_KEY, *([by] if by else [])).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+        return [F.sum(f"__of_{name}").over(ahead).cast(kind).alias(level + name) for name, kind in types.items()]
+
+    blocks = placed.groupBy(_KEY, _LARGE, _BLOCK).agg(*[F.sum(e).cast(types[n]).alias(f"__of_{n}") for n, e in sums.items()])
+    large = blocks.groupBy(_KEY, _LARGE).agg(*[F.sum(f"__of_{n}").cast(t).alias(f"__of_{n}") for n, t in types.items()])
+    to_large = large.select(_KEY, _LARGE, *before("__far_", "", _LARGE))
+    to_block = _with_carry(blocks.select(_KEY, _LARGE, _BLOCK, *before("__near_", _LARGE, _BLOCK)), to_large, _LARGE)
+    carry = to_block.select(_KEY, _BLOCK, *[e.alias(f"__to_{name}") for name, e in added("__far_", "__near_")])
+
+    kept = [c for c in df.columns if c not in sums]
     kept += [name + step_suffix for name in sums if step_suffix]
-    return _with_carry(local, carry).select(*kept, *[e.alias(name) for name, e in finished.items()])
+    return _with_carry(local, carry, _BLOCK).select(*kept, *[e.alias(name) for name, e in added("__in_", "__to_")])
 
 
 def with_previous(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    value: Column,
-    into: str,
-    block: Column,
-    hot_rows: int = HOT_ROWS,
-    counted: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], order: str, value: Column, into: str, width: int = BLOCK_WIDTH
 ) -> DataFrame:
     """Add ``into``: a struct holding the value ``v`` of the key's previous row, null where there is none."""
     held = F.struct(value.alias("v"))
-    blocked, hot = _blocked(df, keys, block, hot_rows, counted)
-    steps = Window.partitionBy(_KEY, _BLOCK).orderBy(order)
-    local = blocked.select("*", F.lag(held).over(steps).alias("__in"))
-
-    lasts = hot.groupBy(_KEY, _BLOCK).agg(F.max_by(held, order).alias("__last"))
-    carry = lasts.select(_KEY, _BLOCK, F.lag("__last").over(Window.partitionBy(_KEY).orderBy(_BLOCK)).alias("__to"))
-    return _with_carry(local, carry).select(*df.columns, F.coalesce("__in", "__to").alias(into))
+    placed = _placed(df, keys, order, width)
+    steps = Window.partitionBy(_KEY, _BLOCK).orderBy(_PLACE)
+    local = placed.select("*", F.lag(held).over(steps).alias("__in"))
+
+    blocks = placed.groupBy(_KEY, _LARGE, _BLOCK).agg(F.max_by(held, _PLACE).alias("__last"))
+    large = blocks.groupBy(_KEY, _LARGE).agg(F.max_by("__last", _BLOCK).alias("__last"))
+    to_large = large.select(_KEY, _LARGE, F.lag("__last").over(Window.partitionBy(_KEY).orderBy(_LARGE)).alias("__far"))
+    near = F.lag("__last").over(Window.partitionBy(_KEY, _LARGE).orderBy(_BLOCK)).alias("__near")
+    to_block = _with_carry(blocks.select(_KEY, _LARGE, _BLOCK, near), to_large, _LARGE)
+    carry = to_block.select(_KEY, _BLOCK, F.coalesce("__near", "__far").alias("__to"))
+    return _with_carry(local, carry, _BLOCK).select(*df.columns, F.coalesce("__in", "__to").alias(into))
+
+
+def typed_like(df: DataFrame, like: DataFrame) -> DataFrame:
+    """``df`` with the columns it shares with ``like`` in that one's types, so that results of all batches agree."""
+    types = {f.name: f.dataType for f in like.schema}
+    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])

@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidetable.functions import timewin
 from tidetable.operators import ordered, windowed
-from tidetable.operators.ordered import BEFORE_ALL, BLOCK_WIDTH, HOT_ROWS
+from tidetable.operators.ordered import BEFORE_ALL, BLOCK_WIDTH
 
 
 def running_total(
@@ -21,30 +21,31 @@ def running_total(
     seq: str,
     into: str = "total",
     opening: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
     width: int = BLOCK_WIDTH,
 ) -> DataFrame:
     """Every record with its key's total so far.
 
     ``opening`` has columns ``keys, into``: the totals the keys start from, for input that continues earlier input.
     """
-    steps = df.withColumn("__amount", F.coalesce(F.col(value), F.lit(0))).withColumn("__record", F.lit(True))
+    zero = F.lit(0).cast(df.schema[value].dataType)
+    steps = df.withColumn("__amount", F.coalesce(F.col(value), zero)).withColumn("__record", F.lit(True))
     if opening is not None:
         before = opening.select(*keys, F.lit(BEFORE_ALL).alias(seq), F.col(into).alias("__amount"))
         steps = steps.unionByName(before, allowMissingColumns=True)
-    block = ordered.number_block(seq, width)
-    run = ordered.running_sums(steps, keys, seq, {into: F.col("__amount")}, block, hot_rows=hot_rows)
-    return run.where("__record").select(*df.columns, into)
+    run = ordered.running_sums(steps, keys, seq, {into: F.col("__amount")}, width=width)
+    total = ordered.sum_type(df, F.col(value))
+    return ordered.typed_like(run.where("__record").select(*df.columns, F.col(into).cast(total).alias(into)), df)
 
 
 def closing_totals(
     df: DataFrame, keys: Sequence[str], value: str, into: str = "total", opening: DataFrame | None = None
 ) -> DataFrame:
     """Totals per key after all records: the ``opening`` of the input that follows."""
-    amounts = df.select(*keys, F.coalesce(F.col(value), F.lit(0)).alias(into))
+    total = ordered.sum_type(df, F.col(value))
+    amounts = df.select(*keys, F.coalesce(F.col(value).cast(total), F.lit(0).cast(total)).alias(into))
     if opening is not None:
         amounts = amounts.unionByName(opening.select(*keys, into))
-    return amounts.groupBy(*keys).agg(F.sum(into).alias(into))
+    return ordered.typed_like(amounts.groupBy(*keys).agg(F.sum(into).cast(total).alias(into)), df.drop(into))
 
 
 def carried_total(
@@ -54,24 +55,12 @@ def carried_total(
     value: str,
     size: str,
     into: str = "total",
-    hot_rows: int = HOT_ROWS,
     width: int = BLOCK_WIDTH,
 ) -> DataFrame:
     """Per key and tumbling window that has records: the total of this and all earlier windows."""
     sums = windowed.window_aggregate(df, ts, keys, {into: ("sum", value)}, size)
-    return ordered.running_sums(
-        sums,
-        keys,
-        "w_start",
-        {into: F.coalesce(F.col(into), F.lit(0))},
-        _window_block(size, width),
-        hot_rows=hot_rows,
-        counted=df,
-    )
-
-
-def _window_block(size: str, width: int) -> Column:
-    return ordered.time_block("w_start", f"{timewin.micros_of(size) * width} microseconds")
+    zero = F.lit(0).cast(sums.schema[into].dataType)
+    return ordered.running_sums(sums, keys, "w_start", {into: F.coalesce(F.col(into), zero)}, width=width)
 
 
 def pv_uv_panes(
@@ -81,7 +70,6 @@ def pv_uv_panes(
     visitor: str,
     seq: str,
     size: str,
-    hot_rows: int = HOT_ROWS,
     width: int = BLOCK_WIDTH,
 ) -> DataFrame:
     """Page views and unique visitors of the record's key and window after each record.
@@ -90,11 +78,11 @@ def pv_uv_panes(
     """
     placed = timewin.assign(df, ts, size).select("*", *timewin.bounds(size)).drop("w")
     groups = [*keys, "w_start", "w_end"]
-    return running_counts(placed, groups, visitor, seq, hot_rows, width)
+    return running_counts(placed, groups, visitor, seq, width)
 
 
 def running_counts(
-    df: DataFrame, keys: Sequence[str], visitor: str, seq: str, hot_rows: int = HOT_ROWS, width: int = BLOCK_WIDTH
+    df: DataFrame, keys: Sequence[str], visitor: str, seq: str, width: int = BLOCK_WIDTH
 ) -> DataFrame:
     """Every record with ``pv`` and ``uv``: records and distinct non-null visitors of its key so far."""
     records = df.select("*", F.lit(1).alias("__pv"), F.lit(0).alias("__uv"))
@@ -106,9 +94,8 @@ def running_counts(
     )
     steps = records.withColumn("__record", F.lit(True)).unionByName(firsts, allowMissingColumns=True)
     sums = {"pv": F.col("__pv").cast("long"), "uv": F.col("__uv").cast("long")}
-    block = ordered.number_block(seq, width)
-    run = ordered.running_sums(steps, keys, seq, sums, block, peers=True, hot_rows=hot_rows, counted=df)
-    return run.where("__record").select(*df.columns, "pv", "uv")
+    run = ordered.running_sums(steps, keys, seq, sums, peers=True, width=width)
+    return ordered.typed_like(run.where("__record").select(*df.columns, "pv", "uv"), df)
 
 
 def average_panes(
@@ -119,36 +106,26 @@ def average_panes(
     seq: str,
     size: str,
     into: str = "avg",
-    hot_rows: int = HOT_ROWS,
     width: int = BLOCK_WIDTH,
 ) -> DataFrame:
     """The average of the record's key and window after each record."""
     placed = timewin.assign(df, ts, size).select("*", *timewin.bounds(size)).drop("w")
     sums = {
-        "__sum": F.coalesce(F.col(value), F.lit(0)),
+        "__sum": F.coalesce(F.col(value), F.lit(0).cast(df.schema[value].dataType)),
         "__n": F.col(value).isNotNull().cast("long"),
     }
-    block = ordered.number_block(seq, width)
-    run = ordered.running_sums(placed, [*keys, "w_start", "w_end"], seq, sums, block, hot_rows=hot_rows)
+    run = ordered.running_sums(placed, [*keys, "w_start", "w_end"], seq, sums, width=width)
     return run.withColumn(into, F.try_divide("__sum", "__n")).drop("__sum", "__n")
 
 
 def emit_on_change(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    value: str,
-    block: Column | None = None,
-    hot_rows: int = HOT_ROWS,
-    counted: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], order: str, value: str, width: int = BLOCK_WIDTH
 ) -> DataFrame:
     """Only the rows whose value differs from the key's previous row (its first row always stays).
 
-    Values are compared, not object identities, so an equal value is suppressed. ``counted`` names the records behind
-    ``df``, if hot keys are cheaper to find there.
+    Values are compared, not object identities, so an equal value is suppressed.
     """
-    block = ordered.number_block(order) if block is None else block
-    seen = ordered.with_previous(df, keys, order, F.col(value), "__previous", block, hot_rows, counted)
+    seen = ordered.with_previous(df, keys, order, F.col(value), "__previous", width)
     changed = F.col("__previous").isNull() | ~F.col("__previous")["v"].eqNullSafe(F.col(value))
     return seen.where(changed).drop("__previous")
 
@@ -159,30 +136,23 @@ def changed_window_averages(
     keys: Sequence[str],
     value: str,
     size: str,
-    hot_rows: int = HOT_ROWS,
     width: int = BLOCK_WIDTH,
 ) -> DataFrame:
     """Average per key and tumbling window, kept only where it differs from the key's previous window."""
     averages = windowed.window_aggregate(df, ts, keys, {"avg": ("avg", value)}, size)
-    return emit_on_change(averages, keys, "w_start", "avg", _window_block(size, width), hot_rows, counted=df)
+    return emit_on_change(averages, keys, "w_start", "avg", width)
 
 
 def over_range(
-    df: DataFrame,
-    ts: str,
-    keys: Sequence[str],
-    value: str,
-    into: str = "total",
-    stretch: str = "1 minute",
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, ts: str, keys: Sequence[str], value: str, into: str = "total", width: int = BLOCK_WIDTH
 ) -> DataFrame:
-    """Sum of all rows of the key up to and including the row's time; rows of one time share it.
+    """Sum of all rows of the key up to and including the row's time; rows of one time share it, those without come first.
 
     Equal times collapse into one step before anything runs, so a burst at one instant is one row.
     """
     steps = df.groupBy(*keys, ts).agg(F.sum(value).alias("__step"))
-    amount = {into: F.coalesce(F.col("__step"), F.lit(0))}
-    run = ordered.running_sums(steps, keys, ts, amount, ordered.time_block(ts, stretch), hot_rows=hot_rows, counted=df)
+    zero = F.lit(0).cast(steps.schema["__step"].dataType)
+    run = ordered.running_sums(steps, keys, ts, {into: F.coalesce(F.col("__step"), zero)}, width=width)
     names = [*keys, ts]
     right = run.select(*[F.col(c).alias(f"__{c}") for c in names], into)
     same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in names]

@@ -165,6 +165,98 @@ def typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- page views and unique visitors ----
 
 
+def pvuv_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly page views and unique visitors by hour label, in SQL text."""
+    return catalog.sql(
+        spark,
+        """
+        WITH visits AS (SELECT user_id, date_format(ts, 'yyyy-MM-dd HH:00') AS dt FROM {events})
+        SELECT dt, count(1) AS pv, count(DISTINCT user_id) AS uv FROM visits GROUP BY dt
+        """,
+        events=table(spark, sf_dir, "events"),
+    )
+
+
+def arrival_tumble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents per source in windows of arrival time instead of event time."""
+    arrived = timewin.with_arrival_time(
+        arriving_documents(spark, sf_dir).drop("text"), arrival=F.col("arrival")
+    )
+    return windowed.window_aggregate(arrived, "procTime", ["source"], {"n": ("count", "doc_id")}, "1 minute")
+
+
+def hop_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and their mean value per type, an hour sliding by five minutes."""
+    measures = {"n": ("count", "*"), "avg_cents": ("avg", "cents"), "top_cents": ("max", "cents")}
+    return windowed.window_aggregate(events(spark, sf_dir), "ts", ["event_type"], measures, "60 minutes", "5 minutes")
+
+
+def hop_gapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hop of two hours with windows of one: half of the time lies in no window."""
+    counted = windowed.window_aggregate(
+        table(spark, sf_dir, "events"), "ts", ["event_type"], {"n": ("count", "event_type")}, "1 hour", "2 hours"
+    )
+    return counted.withColumn("row_time", timewin.last_milli(F.col("w_end")))
+
+
+def region_pv_of(log: DataFrame) -> DataFrame:
+    """Accesses per region and 30-day window as ``region, winStart, winEnd, pv``."""
+    counted = windowed.window_aggregate(log, "accessTime", ["region"], {"pv": ("count", "region")}, "30 days")
+    return counted.withColumnsRenamed({"w_start": "winStart", "w_end": "winEnd"})
+
+
+def region_pv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per customer region and 30 days."""
+    return region_pv_of(region_orders(spark, sf_dir))
+
+
+def region_pv_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The regional counts through a CSV sink with declared names and types."""
+    folder = shared_folder(spark)
+    region_pv(spark, sf_dir).write.csv(folder)
+    return files.read_csv(spark, folder, schemas.REGION_PV.replace("timestamp", "timestamp_ntz"))
+
+
+# ---- sets, filters, projections ----
+
+
+def union_all_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UNION ALL of two filtered selects in SQL text."""
+    orders = table(spark, sf_dir, "orders")
+    return catalog.sql(
+        spark,
+        """
+        SELECT * FROM {finished} WHERE o_totalprice > 200000
+        UNION ALL SELECT * FROM {opened} WHERE o_totalprice < 100000
+        """,
+        finished=orders.where("o_orderstatus = 'F'"),
+        opened=orders.where("o_orderstatus = 'O'"),
+    )
+
+
+def union_then_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Union of two tables, then projection and filter, which the optimizer moves below the union."""
+    orders = table(spark, sf_dir, "orders")
+    both = rows.union_all(orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus = 'O'"))
+    return both.select("o_custkey", "o_orderpriority", "o_totalprice").where("o_totalprice > 200000")
+
+
+def append_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert-only projection of a table interpolated into SQL."""
+    return catalog.sql(
+        spark, "SELECT o_orderkey AS product_id, o_totalprice AS amount FROM {t}", t=table(spark, sf_dir, "orders")
+    )
+
+
+def typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns renamed by position, then converted to a declared row type."""
+    named = rows.renamed(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "id, username")
+    return rows.typed(named, schemas.DIMENSION_USER)
+
+
+# ---- page views and unique visitors ----
+
+
 def pvuv_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly page views and unique visitors by hour label, in SQL text."""
     return catalog.sql(
@@ -214,7 +306,7 @@ def user_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return merged.select(
         "user_id", "w_start", (F.col("w_start") + timewin.interval("1 day")).alias("w_end"),
-        (F.col("amount") / F.col("deals")).alias("avg_cents"),
+        F.try_divide("amount", "deals").alias("avg_cents"),
     )
 
 
@@ -235,7 +327,7 @@ def panes_emit_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same averages after every event, kept where they differ from the user's previous emission."""
     steps = events(spark, sf_dir).select("event_id", "ts", "user_id", value_class())
     panes = running.average_panes(steps, "ts", ["user_id"], "step", "event_id", "1 day", "avg_step")
-    changed = running.emit_on_change(panes, ["user_id"], "event_id", "avg_step", counted=steps)
+    changed = running.emit_on_change(panes, ["user_id"], "event_id", "avg_step")
     return changed.select("event_id", "user_id", *WINDOW, "avg_step")
 
 
@@ -255,7 +347,7 @@ def over_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderpriority", "o_orderdate", cents("o_totalprice").alias("cents")
     )
-    return running.over_range(orders, "o_orderdate", ["o_orderpriority"], "cents", stretch="1 day")
+    return running.over_range(orders, "o_orderdate", ["o_orderpriority"], "cents")
 
 
 # ---- words ----
@@ -311,11 +403,11 @@ def dimension_join_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.sql(
         spark,
         """
-        SELECT s.o_orderkey, d.*, s.o_orderdate
-        FROM {streaming} s INNER JOIN {dimension} d ON s.o_custkey = d.id
+        WITH people AS (SELECT c_custkey AS id, c_name AS username FROM {customers})
+        SELECT o_orderkey, id, username, o_orderdate FROM people JOIN {orders} ON id = o_custkey
         """,
-        streaming=table(spark, sf_dir, "orders"),
-        dimension=rows.renamed(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "id, username"),
+        orders=table(spark, sf_dir, "orders"),
+        customers=table(spark, sf_dir, "customer"),
     )
 
 

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+def epoch() -> Column:
+    """The epoch as zoneless wall-clock time."""
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the parquet tables below ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -43,19 +48,23 @@ def purchases(events_df: DataFrame) -> DataFrame:
 
 
 def utc_wall(ts: str | Column) -> Column:
-    """An instant as zoneless UTC wall-clock time, whatever the session's zone."""
+    """An instant as zoneless UTC wall-clock time, whatever the session's zone: counted from the epoch, not by the clock."""
     column = F.col(ts) if isinstance(ts, str) else ts
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), column.cast("timestamp_ntz"))
+    micros = F.unix_micros(column.cast("timestamp"))
+    return epoch() + F.make_dt_interval(secs=(micros / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)"))
 
 
 def utc_instant(wall: str) -> Column:
     """The instant a zoneless UTC wall-clock time names, whatever the session's zone."""
-    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(wall)).cast("timestamp")
+    column = F.col(wall)
+    seconds = (F.hour(column) * 60 + F.minute(column)) * 60 + F.extract(F.lit("SECOND"), column)
+    micros = F.unix_date(column.cast("date")).cast("long") * 86_400_000_000 + (seconds * 1_000_000).cast("long")
+    return F.timestamp_micros(micros)
 
 
 def arriving_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents arriving one per second from the epoch on."""
-    arrival = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("doc_id"))
+    arrival = epoch() + F.make_dt_interval(secs=F.col("doc_id"))
     return table(spark, sf_dir, "documents").select("doc_id", "source", "text", arrival.alias("arrival"))
 
 
