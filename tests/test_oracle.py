@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import connect, oracle_rows, spark_rows
 from tests.conftest import SF_DIR
+from tidetable.plans import registry
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +15,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_sql(spark, con, name):
     got = spark_rows(entry.queries()[name](spark, SF_DIR))
     want = oracle_rows(con, entry.oracle_sql()[name])

@@ -372,4 +372,14 @@ SELECT CAST(user_id AS VARCHAR) AS "userId", value AS price, event_id * 1000 AS
     "stream_interval_join": INTERVAL_JOIN,
     "stream_dimension_join": DIMENSION_JOIN,
     "stream_union_filter": UNION_FILTER,
+    "stream_tumble_sql": TUMBLE_COUNT,
+    "stream_hop_sql": f"""
+WITH panes AS (
+  SELECT user_id, {tumble('ts', 6 * HOUR)} - INTERVAL 6 HOUR * hop.i AS w_start
+  FROM events, generate_series(0, 3) AS hop(i) WHERE event_type = 'view'
+)
+SELECT user_id, w_start, w_start + INTERVAL 1 DAY AS w_end, count(*) AS n FROM panes GROUP BY user_id, w_start
+""",
+    "stream_dimension_sql": DIMENSION_JOIN,
+    "stream_pvuv_retract": PVUV_RETRACT,
 }

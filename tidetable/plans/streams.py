@@ -1,26 +1,30 @@
 """Registered queries that run as streams over the given tables.
 
 Each drains the table through a streaming query, closes its windows with a far-future row, and returns what the sink
-holds. Files of the table enter in one micro-batch, so no row can be late; state and results go to the shared folder.
+holds. The table is first written as slices of time, one file and so one micro-batch each; with some disorder rows come
+a slice late, but never behind the watermark's delay. State and results go to the shared folder.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType, TimestampType
+from pyspark.sql.types import NumericType, StructType, TimestampType
 
 from tidetable import schemas
 from tidetable.functions import timewin
 from tidetable.operators import changelog, joins, rows, windowed
 from tidetable.plans.tables import cents, of_type, region_orders, table, utc_wall, value_class
 from tidetable.session import shared_folder, streaming_session
-from tidetable.sources import files, kafka, lines
+from tidetable.sources import catalog, files, kafka, lines
 from tidetable.streaming import carry, jobs, run, sinks, stateful
 
 WINDOW = ["w_start", "w_end"]
-FLUSH_KEY = -1
+SLICES = 4
+SLICE_BYTES = 128 << 20
+DISORDER = "6 hours"
 
 
 @dataclass
@@ -35,11 +39,23 @@ class Replay:
     schema: StructType
 
     @classmethod
-    def of(cls, caller: SparkSession, sf_dir: str, name: str, ts: str) -> Replay:
-        spark = streaming_session(caller)
-        # a pattern that matches just this name, be it one file or a folder of files
-        path = f"{sf_dir}/{{{name}.parquet}}"
-        replay = cls(spark, caller, shared_folder(caller), path, ts, spark.read.parquet(path).schema)
+    def of(cls, caller: SparkSession, sf_dir: str, name: str, ts: str, disorder: str = "0 seconds", by: str | None = None) -> Replay:
+        """Slices go by ``by``, or else by ``ts`` with a tenth of the rows ``disorder`` later than their time says."""
+        spark, folder = streaming_session(caller), shared_folder(caller)
+        given = table(spark, sf_dir, name)
+        replay = cls(spark, caller, folder, f"{folder}/slices", ts, given.schema)
+        size = int(given._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        slices = max(SLICES, size // SLICE_BYTES + 1)
+        time = F.col(by or ts)
+        time = time if isinstance(given.schema[by or ts].dataType, NumericType) else time.cast("timestamp")
+        delayed = F.when(F.pmod(F.xxhash64(*given.columns), F.lit(10)) == 0, timewin.micros_of(disorder) / 1_000_000)
+        arrival = given.withColumn("__at", time.cast("double") + F.coalesce(delayed, F.lit(0.0)))
+        first, last = arrival.agg(F.min("__at"), F.max("__at")).first()
+        width = ((last or 0) - (first or 0)) / slices or 1.0
+        slot = F.least(F.floor((F.coalesce("__at", F.lit(first)) - F.lit(first)) / width), F.lit(slices - 1))
+        for number in range(slices):  # one after the other: a stream reads files in the order they were written
+            held = arrival.where(F.coalesce(slot, F.lit(0)) == number).drop("__at")
+            held.coalesce(1).write.mode("append").parquet(replay.path)
         spark.createDataFrame([], replay.schema).write.parquet(replay.flush_path)
         return replay
 
@@ -57,7 +73,7 @@ class Replay:
 
     def stream(self) -> DataFrame:
         """The table's rows, then the flush row, with the time column as an instant."""
-        data = files.stream_table(self.spark, self.path, self.schema)
+        data = files.stream_table(self.spark, self.path, self.schema, files_per_batch=1)
         flush = files.stream_table(self.spark, self.flush_path, self.schema)
         return data.unionByName(flush).withColumn(self.ts, F.col(self.ts).cast("timestamp"))
 
@@ -85,10 +101,10 @@ class Replay:
         return held.withColumns({name: utc_wall(name) for name in instants})
 
 
-def _events(spark: SparkSession, sf_dir: str, delay: str = "0 seconds") -> tuple[Replay, DataFrame]:
-    replay = Replay.of(spark, sf_dir, "events", "ts")
+def _events(spark: SparkSession, sf_dir: str) -> tuple[Replay, DataFrame]:
+    replay = Replay.of(spark, sf_dir, "events", "ts", DISORDER)
     stream = replay.stream().withColumn("cents", cents("value"))
-    return replay, stream.withWatermark("ts", delay)
+    return replay, stream.withWatermark("ts", DISORDER)
 
 
 def stream_hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +192,8 @@ def stream_pvuv_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, part in parts.items():
         run.drain(part, sinks.batch_folders(f"{replay.folder}/{name}"), f"{replay.checkpoint}-{name}", "update")
     views, visitors = [sinks.read_upserts(replay.caller, f"{replay.folder}/{name}", ["dt"]) for name in parts]
-    return views.join(visitors, "dt")
+    # hours without a known visitor have views only
+    return views.join(visitors, "dt", "left").withColumn("uv", F.coalesce("uv", F.lit(0).cast("long")))
 
 
 def stream_window_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,7 +212,7 @@ def stream_avg_emit_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event with the total of its type so far, continued across micro-batches."""
-    replay = Replay.of(spark, sf_dir, "events", "ts")
+    replay = Replay.of(spark, sf_dir, "events", "ts", by="event_id")
     stream = replay.stream().withColumn("cents", cents("value")).select("event_id", "event_type", "cents")
     totals = f"{replay.folder}/totals"
     sink = carry.running_total_sink(replay.out, totals, ["event_type"], "cents", "event_id")
@@ -244,7 +261,7 @@ def stream_text_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_sum_retract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every update of the sum per type as retraction and addition, continued across micro-batches."""
-    replay = Replay.of(spark, sf_dir, "events", "ts")
+    replay = Replay.of(spark, sf_dir, "events", "ts", by="event_id")
     stream = replay.stream().withColumn("cents", cents("value")).select("event_id", "event_type", "cents")
     measures = {"total": ("sum", "cents")}
     sink = carry.changelog_sink(replay.out, f"{replay.folder}/state", ["event_type"], "event_id", measures)
@@ -261,7 +278,7 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of arriving documents per five-minute window."""
     arrival = F.timestamp_seconds("doc_id")
     replay = Replay.of(spark, sf_dir, "documents", "doc_id")
-    arrived = files.stream_table(replay.spark, replay.path, replay.schema).select(arrival.alias("arrival"), "text")
+    arrived = files.stream_table(replay.spark, replay.path, replay.schema, files_per_batch=1).select(arrival.alias("arrival"), "text")
     counted = windowed.word_count(arrived.withWatermark("arrival", "0 seconds"), "text", "arrival", "5 minutes")
     run.drain(counted, sinks.batch_folders(replay.out), replay.checkpoint, "update")
     newest = sinks.read_upserts(replay.caller, replay.out, ["word", *WINDOW])
@@ -269,12 +286,12 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[Replay, DataFrame, DataFrame]:
-    replay = Replay.of(spark, sf_dir, "events", "ts")
+    replay = Replay.of(spark, sf_dir, "events", "ts", DISORDER)
     clicked = of_type(replay.stream(), "click").select("user_id", "event_id", F.col("ts").alias("click_ts"))
     bought = of_type(replay.stream().withColumn("cents", cents("value")), "purchase").select(
         "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"), "cents"
     )
-    return replay, clicked.withWatermark("click_ts", "0 seconds"), bought.withWatermark("purchase_ts", "0 seconds")
+    return replay, clicked.withWatermark("click_ts", DISORDER), bought.withWatermark("purchase_ts", DISORDER)
 
 
 def stream_window_inner_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,8 +306,9 @@ def stream_window_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The left form: unmatched clicks come out when their day closes."""
     replay, clicked, bought = _sides(spark, sf_dir)
     joined = joins.window_join(clicked, bought, "user_id", "click_ts", "purchase_ts", "1 day", "left", ["cents"])
-    ended = replay.closed(joined, event_type=["click", "purchase"], user_id=[FLUSH_KEY])
-    return ended.where(F.col("user_id") != FLUSH_KEY)
+    # the rows that end the input need a key, or the join drops them before they move the watermark; they have no number
+    ended = replay.closed(joined, event_type=["click", "purchase"], user_id=[-1])
+    return ended.where(F.col("event_id").isNotNull())
 
 
 def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,6 +329,60 @@ def stream_dimension_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.read(joined.columns)
 
 
+def _view(frame: DataFrame, name: str) -> str:
+    """Register a stream under a name of its own, so that queries in one session don't meet."""
+    unique = f"{name}_{uuid.uuid4().hex[:8]}"
+    catalog.register(frame, unique)
+    return unique
+
+
+def stream_tumble_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tumbling counts in SQL text over a registered stream."""
+    replay, stream = _events(spark, sf_dir)
+    name = _view(stream.select("ts", "event_type"), "clicks")
+    counted = replay.spark.sql(f"""
+        SELECT event_type, window.start AS w_start, window.end AS w_end, count(event_type) AS n
+        FROM {name} GROUP BY event_type, window(ts, '1 hour')
+    """)
+    return replay.closed(counted)
+
+
+def stream_hop_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views per item and sliding day in SQL text over a declared table of JSON messages."""
+    replay = Replay.of(spark, sf_dir, "events", "ts", DISORDER)
+    body = F.struct("user_id", "event_type", "ts")
+    messages = replay.stream().select(F.encode(F.to_json(body), "UTF-8").alias("value"))
+    name = f"messages_{uuid.uuid4().hex[:8]}"
+    kafka.json_table(messages, "user_id bigint, event_type string, ts timestamp", name)
+    timed = _view(catalog.scan(replay.spark, name).withWatermark("ts", DISORDER), "timed")
+    counted = replay.spark.sql(f"""
+        SELECT user_id, window.start AS w_start, window.end AS w_end, count(1) AS n
+        FROM {timed} WHERE event_type = 'view' GROUP BY user_id, window(ts, '1 day', '6 hours')
+    """)
+    return replay.closed(counted, event_type=["view"])
+
+
+def stream_dimension_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An order stream enriched from the customer table in SQL text."""
+    replay = Replay.of(spark, sf_dir, "orders", "o_orderdate")
+    placed = _view(replay.stream(), "placed")
+    catalog.register(table(replay.spark, sf_dir, "customer").select("c_custkey", "c_name"), "people", "id, username")
+    joined = catalog.sql(
+        replay.spark, f"SELECT o_orderkey, id, username, o_orderdate FROM people JOIN {placed} ON id = o_custkey"
+    )
+    run.drain(joined, sinks.file_sink(replay.out), replay.checkpoint)
+    return replay.read(joined.columns)
+
+
+def stream_pvuv_retract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every update of hourly page views and unique visitors as retraction and addition, from one query."""
+    replay = Replay.of(spark, sf_dir, "events", "ts", by="event_id")
+    labelled = replay.stream().select("event_id", "user_id", timewin.hour_label("ts").alias("dt"))
+    sink = carry.visitors_changelog_sink(replay.out, f"{replay.folder}/state", ["dt"], "event_id", "user_id")
+    run.drain(labelled, sink, replay.checkpoint)
+    return replay.read()
+
+
 def stream_union_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two order streams united, projected and filtered, insert-only."""
     replay = Replay.of(spark, sf_dir, "orders", "o_orderdate")
@@ -347,5 +419,9 @@ QUERIES = {
         stream_interval_join,
         stream_dimension_join,
         stream_union_filter,
+        stream_tumble_sql,
+        stream_hop_sql,
+        stream_dimension_sql,
+        stream_pvuv_retract,
     )
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidetable.operators import changelog, running
@@ -23,11 +23,17 @@ def _continued(path: str, state: str, result: Step, closing: Step):
 
     def write(batch: DataFrame, batch_id: int) -> None:
         records = batch.persist()
-        opening = batch.sparkSession.read.parquet(f"{state}/slot={(batch_id - 1) % 2}") if batch_id else None
-        result(records, opening).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
-        closing(records, opening).write.mode("overwrite").parquet(f"{state}/slot={batch_id % 2}")
-        records.unpersist()
+        try:
+            opening = batch.sparkSession.read.parquet(f"{state}/slot={(batch_id - 1) % 2}") if batch_id else None
+            result(records, opening).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+            closing(records, opening).write.mode("overwrite").parquet(f"{state}/slot={batch_id % 2}")
+        finally:
+            records.unpersist()
 
+    return _attached(write)
+
+
+def _attached(write: Callable[[DataFrame, int], None]):
     def attach(writer: DataStreamWriter) -> DataStreamWriter:
         return writer.foreachBatch(write)
 
@@ -52,3 +58,43 @@ def changelog_sink(path: str, state: str, keys: Sequence[str], seq: str, measure
         lambda batch, opening: changelog.aggregate_changelog(batch, keys, seq, measures, opening=opening),
         lambda batch, opening: changelog.closing_state(batch, keys, seq, measures, opening),
     )
+
+
+def first_sightings(
+    batch: DataFrame, keys: Sequence[str], visitor: str, seq: str, seen: DataFrame | None = None
+) -> DataFrame:
+    """``keys, visitor, seq`` of the record at which a non-null visitor shows first, unless ``seen`` has it."""
+    firsts = batch.where(F.col(visitor).isNotNull()).groupBy(*keys, visitor).agg(F.min(seq).alias(seq))
+    if seen is None:
+        return firsts
+    named = [*keys, visitor]
+    known = seen.select(*[F.col(c).alias(f"__{c}") for c in named])
+    same = F.lit(True)
+    for c in named:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return firsts.join(known, same, "left_anti")
+
+
+def visitors_changelog_sink(
+    path: str, state: str, keys: Sequence[str], seq: str, visitor: str, pv: str = "pv", uv: str = "uv"
+):
+    """Write the change-log of records and distinct visitors per key to ``path/batch=<id>``.
+
+    Every micro-batch adds the visitors it sees first, and only them, to ``state/seen/batch=<id>``, so what is stored grows
+    with the distinct visitors. A batch that is tried again looks at earlier batches' visitors only and replaces its own.
+    """
+    measures = {pv: ("count", "*"), uv: ("sum", uv)}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session, seen_path = batch.sparkSession, f"{state}/seen"
+        seen = session.read.parquet(seen_path).where(F.col(BATCH) < batch_id) if batch_id else None
+        first_sightings(batch, keys, visitor, seq, seen).write.mode("overwrite").parquet(f"{seen_path}/{BATCH}={batch_id}")
+        firsts = session.read.parquet(f"{seen_path}/{BATCH}={batch_id}").select(seq, F.lit(1).cast("long").alias(uv))
+        records = batch.join(firsts, seq, "left").withColumn(uv, F.coalesce(uv, F.lit(0).cast("long")))
+        opening = session.read.parquet(f"{state}/slot={(batch_id - 1) % 2}") if batch_id else None
+        log = changelog.aggregate_changelog(records, keys, seq, measures, opening=opening)
+        log.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        closed = changelog.closing_state(records, keys, seq, measures, opening)
+        closed.write.mode("overwrite").parquet(f"{state}/slot={batch_id % 2}")
+
+    return _attached(write)

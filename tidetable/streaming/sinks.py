@@ -22,14 +22,15 @@ def csv_sink(path: str):
     return file_sink(path, "csv")
 
 
-def console_sink(label: str | None = None, rows: int = 20):
-    """Print each micro-batch, optionally under a query name."""
+def console_sink(label: str | None = None):
+    """Print every row of each micro-batch, optionally under a query name, one partition at a time."""
 
-    def attach(writer: DataStreamWriter) -> DataStreamWriter:
-        named = writer.queryName(label) if label else writer
-        return named.format("console").option("numRows", rows).option("truncate", False)
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"---- {label or 'batch'} {batch_id}: {', '.join(batch.columns)}")
+        for row in batch.toLocalIterator():
+            print(*row, sep=" | ")
 
-    return attach
+    return lambda writer: (writer.queryName(label) if label else writer).foreachBatch(show)
 
 
 def kafka_sink(servers: str, topic: str, **options: str):
