@@ -7,7 +7,9 @@ import re
 import pytest
 
 from tests.conftest import SF_DIR
+from tidetable.operators import windowed
 from tidetable.plans import batch
+from tidetable.plans.tables import events
 
 
 def plan_of(df) -> str:
@@ -45,3 +47,12 @@ def test_running_values_read_their_input_twice_at_most(spark):
         df._jdf.queryExecution().toRdd().count()
         final = plan_of(df).split("== Initial Plan ==")[0]
         assert final.count("FileScan") <= scans, name
+
+
+def test_sliding_windows_deal_a_key_over_stretches_of_time(spark):
+    """7,200 hops: a short plan, and no shuffle by the key alone."""
+    df = windowed.window_aggregate(events(spark, SF_DIR), "ts", ["event_type"], {"n": ("count", "*")}, "2 hours", "1 second")
+    plan = plan_of(df)
+    assert len(plan) < 12_000
+    assert re.search(r"hashpartitioning\(event_type#\d+, __stretch#\d+", plan)
+    assert not re.search(r"hashpartitioning\(event_type#\d+, \d+\)", plan)

@@ -42,17 +42,25 @@ def window_aggregate(
 ) -> DataFrame:
     """``keys, w_start, w_end, *measures`` per key and window.
 
-    Overlapping hops over bounded input aggregate once per slide-wide slice and copy only those partial rows
-    into the windows that cover them, instead of copying every input row ``size / slide`` times. The sum of an average's
-    slice and its count combine exactly. Streams use Spark's own window expansion, because a stream keeps one
-    aggregation state.
+    Overlapping hops aggregate once per slide-wide slice and copy only those partial rows into the windows that cover
+    them, instead of copying every input row ``size / slide`` times. The sum of an average's slice and its count combine
+    exactly. A stream does this as two chained aggregations, which only append mode allows: pass ``preaggregate=False``
+    for update mode.
     """
+    hops = timewin.micros_of(size) / timewin.micros_of(slide or size)
+    sliced = preaggregate and hops > 1 and hops.is_integer()
+    if df.isStreaming and sliced:
+        parts = _partials(measures)
+        slices = timewin.assign(df, ts, slide, into="__slice").groupBy("__slice", *keys).agg(
+            *[piece.alias(name) for name, (piece, _) in parts.items()]
+        )
+        merged = slices.groupBy(F.window("__slice", size, slide).alias("w"), *keys).agg(*_combined(parts))
+        return merged.select(*keys, *timewin.bounds(size, slide), *_outputs(measures))
     if df.isStreaming or timewin.is_gapped(size, slide):
         aggregates = [_direct(fn, col).alias(name) for name, (fn, col) in measures.items()]
         counted = timewin.assign(df, ts, size, slide).groupBy("w", *keys).agg(*aggregates)
         return counted.select(*keys, *timewin.bounds(size, slide), *measures)
-    hops = timewin.micros_of(size) / timewin.micros_of(slide or size)
-    if preaggregate and hops > 1 and hops.is_integer():
+    if sliced:
         counted = _sliced(df, ts, keys, measures, size, slide)
     else:
         aggregates = [_direct(fn, col).alias(name) for name, (fn, col) in measures.items()]
@@ -60,26 +68,44 @@ def window_aggregate(
     return counted.select(*keys, "w_start", (F.col("w_start") + timewin.interval(size)).alias("w_end"), *measures)
 
 
+def _combined(parts: Mapping[str, tuple[Column, str]]) -> list[Column]:
+    return [{"sum": F.sum, "min": F.min, "max": F.max}[how](name).alias(name) for name, (_, how) in parts.items()]
+
+
+def _outputs(measures: Measures) -> list[Column]:
+    return [
+        F.try_divide(f"{name}__sum", f"{name}__n").alias(name) if fn == "avg" else F.col(name)
+        for name, (fn, _) in measures.items()
+    ]
+
+
+# a key's time is dealt out in stretches of so many windows
+STRETCH = 16
+
+
 def _sliced(df: DataFrame, ts: str, keys: Sequence[str], measures: Measures, size: str, slide: str) -> DataFrame:
+    """Slices of a key and stretch of time meet before they are copied, so the copies need no shuffle of their own.
+
+    A stretch holds the windows that start in it. A slice goes to the stretch it lies in, and to the one before if a
+    window that starts there still covers it: one slice in ``STRETCH`` goes twice, and no task gets a key's whole history.
+    """
     parts = _partials(measures)
     slices = df.groupBy(timewin.starts(ts, slide).alias("__slice"), *keys).agg(
         *[piece.alias(name) for name, (piece, _) in parts.items()]
     )
-    if keys:
-        # The slices of a key meet before they are copied, so the copies need no shuffle of their own. The number is
-        # given, because run-time coalescing would judge by the size before copying.
-        slices = slices.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-    panes = slices.select("*", F.explode(timewin.shifts(size, slide)).alias("__shift")).withColumn(
+    length = f"{timewin.micros_of(size) * STRETCH} microseconds"
+    earliest = timewin.interval(f"{timewin.micros_of(size) - timewin.micros_of(slide)} microseconds")
+    dealt = slices.withColumn("__own", F.window("__slice", length)["start"])
+    dealt = dealt.withColumn("__first", F.col("__slice") - earliest).withColumn("__before", F.window("__first", length)["start"])
+    dealt = dealt.withColumn("__stretch", F.explode(F.array_distinct(F.array("__own", "__before"))))
+    # the number is given, because run-time coalescing would judge by the size before copying
+    dealt = dealt.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "__stretch")
+    panes = dealt.withColumn("__shift", F.explode(timewin.shifts(size, slide))).withColumn(
         "w_start", F.col("__slice") - F.col("__shift")
     )
-    merged = panes.groupBy("w_start", *keys).agg(
-        *[{"sum": F.sum, "min": F.min, "max": F.max}[how](name).alias(name) for name, (_, how) in parts.items()]
-    )
-    outputs = [
-        (F.col(f"{name}__sum") / F.col(f"{name}__n")).alias(name) if fn == "avg" else F.col(name)
-        for name, (fn, _) in measures.items()
-    ]
-    return merged.select(*keys, "w_start", *outputs)
+    inside = (F.col("w_start") >= F.col("__stretch")) & (F.col("w_start") < F.col("__stretch") + timewin.interval(length))
+    merged = panes.where(inside).groupBy("__stretch", "w_start", *keys).agg(*_combined(parts))
+    return merged.select(*keys, "w_start", *_outputs(measures))
 
 
 def pv_uv(df: DataFrame, keys: Sequence[str | Column], visitor: str, exact: bool = True) -> DataFrame:
