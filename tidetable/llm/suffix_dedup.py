@@ -9,8 +9,8 @@ An anchor's context is all strings that choose it. Contexts equal as a whole, to
 comparison, and a task sends one of them. What is left, runs with different contexts, is sorted: the suffixes of the
 contexts that hold the anchor equally deep, by a mergesort in which two suffixes are compared in a logarithmic number
 of steps. Prefix sums of a polynomial hash give the hash of any stretch, and a binary search over them the length of
-the common beginning. Neighbours in the sorted order that share ``LENGTH`` bytes are repeated; their bytes are
-compared before that counts, and a suffix whose hash misled is settled on its bytes.
+the common beginning. Neighbours in the sorted order that share ``LENGTH`` bytes are repeated. All neighbours are
+checked on their bytes; where a hash misled, the suffixes that were sorted together are settled on their bytes.
 
 Null texts are empty; texts shorter than ``LENGTH`` keep everything. A repeated row makes its text occur elsewhere.
 Other columns are ignored. Long texts are worked on in stretches, so memory is bounded.
@@ -217,20 +217,27 @@ class SuffixOrder:
         ordered = self.sort(places, first, sizes)
         group = np.repeat(np.arange(len(sizes)), sizes)
         near = np.flatnonzero(group[1:] == group[:-1])
-        near = near[self.common(ordered[near], ordered[near + 1]) == LENGTH]
         windows = np.lib.stride_tricks.sliding_window_view(self.data, LENGTH)
-        found, doubtful = [], set()
-        for part in np.split(near, range(4096, len(near), 4096)):
-            equal = (windows[ordered[part]] == windows[ordered[part + 1]]).all(axis=1)
-            found += [ordered[part[equal]], ordered[part[equal] + 1]]
-            doubtful.update(group[part[~equal]].tolist())
-        for g in doubtful:
-            members = ordered[group == g]
+        same, misled = np.zeros(len(near), bool), np.zeros(len(near), bool)
+        for at in range(0, len(near), 4096):
+            rows = near[at : at + 4096]
+            a, b = windows[ordered[rows]], windows[ordered[rows + 1]]
+            differ = a != b
+            place = differ.argmax(axis=1)
+            line = np.arange(len(rows))
+            same[at : at + 4096] = ~differ[line, place]
+            misled[at : at + 4096] = a[line, place] > b[line, place]
+        # a hash that misled puts neighbours in the wrong order, or a place into two
+        stray = np.sort(ordered + group * len(self.data)) != np.sort(places + group * len(self.data))
+        doubtful = np.unique(np.r_[group[near[misled]], group[stray]])
+        sure = near[same & ~np.isin(group[near], doubtful)]
+        found = [ordered[sure], ordered[sure + 1]]
+        for g in doubtful.tolist():
             by_bytes: dict[bytes, list[int]] = {}
-            for place in members.tolist():
+            for place in places[group == g].tolist():
                 by_bytes.setdefault(windows[place].tobytes(), []).append(place)
             found += [np.array(x) for x in by_bytes.values() if len(x) > 1]
-        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        return np.unique(np.concatenate(found))
 
 
 def repeated_starts(held: list[bytes], depths: np.ndarray, runs: np.ndarray) -> Iterator[tuple[int, int, int]]:
