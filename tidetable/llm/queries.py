@@ -98,6 +98,32 @@ ORACLES = {
                         + length(regexp_replace(text, '[^\\\\<\\[]', '', 'g'))) AS BIGINT) AS formatted_chars
         FROM rows GROUP BY conv_id
     """,
+    "op7_ngram_join": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE
+                WHEN len(words) >= 5 THEN list_distinct(list_transform(
+                    range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')))
+                WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS held
+            FROM worded
+        ), shingles AS (
+            SELECT doc_id, len(held) AS n, unnest(held) AS shingle FROM sets
+        ), linked AS (
+            SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+        ), edges AS (
+            SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked
+        ), reached AS (
+            SELECT doc_id, doc_id AS root FROM sets
+            UNION SELECT edges.y, reached.root FROM reached JOIN edges ON edges.x = reached.doc_id
+        )
+        SELECT doc_id, CAST(len(held) AS BIGINT) AS n_shingles, min(root) AS component_id
+        FROM reached JOIN sets USING (doc_id) GROUP BY doc_id, held
+    """,
     "op10_exact_dedup": """
         WITH texts AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
         best AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY body)
