@@ -1,15 +1,15 @@
 """Near-duplicate documents: an exact Jaccard join of word shingles over count vectors.
 
 Texts of equal shingle sets form a class, and only classes are compared. A class is a point: its shingles fall by hash
-into groups, about eight to a group, and the coordinates are the counts per group. Two sets cannot share more shingles
+into groups, one or two to a shingle, and the coordinates are the counts per group. Two sets cannot share more shingles
 than the sum of the smaller coordinates, and an R-tree of points gives the same bound for a whole node from its upper
 corner. Pairs whose bound is high enough are verified on the sets.
 
 Trees are built where pairs can meet. Of each set the rarest ``n - ceil(0.8 n) + 1`` shingles are posted; two sets that
 link share a posted one. Rarity is read from a table of counts by hash of fixed size, filled from all documents, so
 shingles of shared passages hardly get posted. Classes that meet at a shingle form a block; equal blocks are kept once.
-Only components are wanted, so a large group is not spelled out in pairs: first each member meets the leaders of its
-block, then only pairs of different components are verified, which leaves out no link.
+Only components are wanted, so a large group is not spelled out in pairs: first each member meets a leader of its
+block, then the likeliest others, and in the end all pairs of different components are verified, which leaves out no link.
 
 Shingles are 64-bit hashes of five words, sets compare by them; counts and links are exact up to hash collisions (a
 pair of sets of 10,000 shingles has one with a chance of 10^-11). Null texts are empty and linked with nothing. Rows of
@@ -19,6 +19,7 @@ about forty bytes of working memory per byte.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,12 +29,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidetable.llm.components import components
 from tidetable.llm.hashing import mixed, prefix_sums, stretch
-from tidetable.llm.shared import SLOT_BITS, materialize, shuffle_partitions, ship, slices, text_of, without
+from tidetable.llm.shared import SLOT_BITS, flagged, materialize, shuffle_partitions, ship, slices, text_of, without
 
 WORDS = 5
 RARITY_BITS = 20
 RARITY_BLOCKS = 64
 LEAF = 64
+ROUNDS = (4, None)  # partners tried per row and round; the last round tries all
 BYTES_AT_ONCE = 1_000_000
 
 _FACTORS = [np.uint64(mixed(np.array([k + 1], np.uint64))[0] | np.uint64(1)) for k in range(WORDS)]
@@ -70,10 +72,17 @@ def class_of(held: np.ndarray) -> int:
     return int(mixed(mixed(held, 77).sum(keepdims=True), len(held)).view(np.int64)[0])
 
 
-def point_of(held: np.ndarray) -> np.ndarray:
-    """Counts per group; the number of groups is a power of two, so halves of a point add up to a coarser point."""
-    groups = 1 << max(3, (len(held) // 8).bit_length())
-    return np.bincount((held & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype(np.uint16)
+def point_of(held: np.ndarray) -> bytes:
+    """Counts per group, packed; the number of groups is a power of two, so halves of a point add up to a coarser one."""
+    groups = 1 << max(3, len(held).bit_length())
+    counts = np.bincount((held & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return zlib.compress(counts.astype(np.uint8 if counts.max() < 256 else np.uint16).tobytes(), 1)
+
+
+def unpacked(point: bytes, n: int) -> np.ndarray:
+    held = zlib.decompress(point)
+    wide = len(held) > 1 << max(3, n.bit_length())
+    return np.frombuffer(held, np.uint16 if wide else np.uint8).astype(np.uint16)
 
 
 def posted(n: int) -> int:
@@ -103,7 +112,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             name = class_of(held)
             new = name not in seen and len(held) > 0
             names.append(name)
-            points.append(point_of(held).tobytes() if new else None)
+            points.append(point_of(held) if new else None)
             if new:
                 seen.add(name)
                 np.add.at(counts, (held >> np.uint64(64 - RARITY_BITS)).astype(np.int64), 1)
@@ -196,9 +205,9 @@ class RTree:
         half = len(rows) // 2
         return upper, least, None, (self._pack(rows[:half]), self._pack(rows[half:]))
 
-    def near(self, point: np.ndarray, size: int) -> np.ndarray:
-        """Rows whose sets may share enough shingles with a set of this point and size."""
-        found, open_nodes = [], [self.root]
+    def near(self, point: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows whose sets may share enough shingles with a set of this point and size, and bounds of how many."""
+        found, bounds, open_nodes = [], [], [self.root]
         while open_nodes:
             upper, least, rows, parts = open_nodes.pop()
             if 9 * int(np.minimum(upper, point).sum(dtype=np.int64)) < 4 * (size + least):
@@ -207,15 +216,18 @@ class RTree:
                 open_nodes += parts
                 continue
             bound = np.minimum(self.points[rows], point).sum(axis=1, dtype=np.int64)
-            found.append(rows[9 * bound >= 4 * (size + self.sizes[rows])])
-        return np.concatenate(found) if found else np.zeros(0, np.int64)
+            enough = 9 * bound >= 4 * (size + self.sizes[rows])
+            found.append(rows[enough])
+            bounds.append(bound[enough])
+        none = np.zeros(0, np.int64)
+        return (np.concatenate(found), np.concatenate(bounds)) if found else (none, none)
 
 
 class Block:
     """Classes that share a posted shingle, with one tree per number of groups."""
 
     def __init__(self, points: list[bytes], sizes: np.ndarray):
-        self.points = [np.frombuffer(x, np.uint16) for x in points]
+        self.points = [unpacked(x, n) for x, n in zip(points, sizes.tolist())]
         self.sizes = sizes
         self.widths = np.array([len(x) for x in self.points])
         self.trees = {}
@@ -224,62 +236,85 @@ class Block:
             self.trees[width] = rows, RTree(np.stack([self.points[i] for i in rows]), sizes[rows])
 
     def near(self, row: int) -> np.ndarray:
-        """Rows, of at most as many groups as this one has, that may link with it; itself among them."""
-        point, width, found = self.points[row], int(self.widths[row]), []
+        """Other rows, of at most as many groups as this one has, that may link with it; the likeliest first."""
+        point, width, found, shares = self.points[row], int(self.widths[row]), [], []
         # sizes of linked sets differ by a quarter at most, numbers of groups by a factor of two
         for _ in range(2):
             if width in self.trees:
                 rows, tree = self.trees[width]
-                found.append(rows[tree.near(point, int(self.sizes[row]))])
+                at, bounds = tree.near(point, int(self.sizes[row]))
+                found.append(rows[at])
+                shares.append(bounds / (self.sizes[rows[at]] + self.sizes[row]))
             point, width = point[: width // 2] + point[width // 2 :], width // 2
-        return np.concatenate(found)
+        rows = np.concatenate(found)[np.argsort(-np.concatenate(shares), kind="stable")]
+        return rows[rows != row]
 
 
-def leader_pairs(block: Block) -> Iterator[tuple[int, int]]:
-    """Each row with one leader it may link with; a row that has none becomes a leader. Large rows lead."""
+def leaders_of(block: Block) -> Iterator[tuple[int, int]]:
+    """Rows that may link with any other, each with one leader among these; -1 for the leaders. Large rows lead."""
     free = np.ones(len(block.sizes), bool)
     for row in np.lexsort((np.arange(len(free)), -block.sizes)).tolist():
         if free[row]:
             free[row] = False
-            for other in block.near(row).tolist():
-                if free[other]:
-                    free[other] = False
-                    yield row, other
+            near = block.near(row)
+            if len(near):
+                yield row, -1
+            for other in near[free[near]].tolist():
+                free[other] = False
+                yield other, row
 
 
-def crossing_pairs(block: Block, roots: np.ndarray) -> Iterator[tuple[int, int]]:
-    """All rows that may link and are of different components."""
-    if (roots == roots[0]).all():
-        return
+def crossing_pairs(block: Block, roots: np.ndarray, most: int | None) -> Iterator[tuple[int, int]]:
+    """Rows that may link and are of different components: all, or the ``most`` likeliest of each row."""
     for row in range(len(roots)):
-        for other in block.near(row).tolist():
-            if roots[other] != roots[row]:
-                yield row, other
+        near = block.near(row)
+        near = near[roots[near] != roots[row]]
+        if most is None:  # of two rows with as many groups both find the other, otherwise the finer one does
+            near = near[(near < row) | (block.widths[near] < block.widths[row])]
+        for other in near[:most].tolist():
+            yield row, other
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """The table of a task and the rows of each block in it."""
+    parts = [batch for batch in batches if batch.num_rows]
+    if not parts:
+        return
+    table = pa.Table.from_batches(parts)
+    blocks, names = table.column("block").to_numpy(), table.column("class").to_numpy()
+    order = np.lexsort((names, blocks))
+    cuts = np.flatnonzero(np.r_[True, np.diff(blocks[order]) != 0, True])
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        yield table, order[a:b]
+
 
+def _block(table: pa.Table, rows: np.ndarray) -> Block:
+    return Block(table.column("point").take(pa.array(rows)).to_pylist(), table.column("n").to_numpy()[rows])
 
-def _pairs(first_round: bool):
+
+def _led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of all blocks that may link with another one of their block, with their leaders."""
+    table, keep, leaders = None, [], []
+    for table, rows in _blocks(batches):
+        names = table.column("class").to_numpy()
+        for row, leader in leaders_of(_block(table, rows)):
+            keep.append(int(rows[row]))
+            leaders.append(None if leader < 0 else int(names[rows[leader]]))
+    if keep:
+        chosen = table.take(pa.array(keep)).append_column("leader", pa.array(leaders, pa.int64()))
+        yield from chosen.combine_chunks().to_batches()
+
+
+def _crossing(most: int | None):
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [batch for batch in batches if batch.num_rows]
-        if not parts:
-            return
-        table = pa.Table.from_batches(parts)
-        blocks, names, sizes = (table.column(c).to_numpy() for c in ("block", "class", "n"))
-        roots = table.column("root").to_numpy()
-        order = np.lexsort((names, blocks))
-        cuts = np.flatnonzero(np.r_[True, np.diff(blocks[order]) != 0, True])
-        points = table.column("point")
-        left, right = [], []
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            rows = order[a:b]
-            if not first_round and (roots[rows] == roots[rows[0]]).all():
-                continue
-            block = Block(points.take(pa.array(rows)).to_pylist(), sizes[rows])
-            found = leader_pairs(block) if first_round else crossing_pairs(block, roots[rows])
-            for x, y in found:
-                a_name, b_name = sorted((int(names[rows[x]]), int(names[rows[y]])))
-                left.append(a_name)
-                right.append(b_name)
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+        found: set[tuple[int, int]] = set()
+        for table, rows in _blocks(batches):
+            roots, names = table.column("root").to_numpy()[rows], table.column("class").to_numpy()[rows]
+            if (roots != roots[0]).any():
+                for x, y in crossing_pairs(_block(table, rows), roots, most):
+                    found.add((int(min(names[x], names[y])), int(max(names[x], names[y]))))
+        a, b = zip(*sorted(found)) if found else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return pairs
 
@@ -324,6 +359,13 @@ def _bits(names: DataFrame) -> bytes:
     return held.tobytes()
 
 
+def _least_neighbours(links: DataFrame) -> DataFrame:
+    """``node, root`` of linked nodes: the least of a node and its neighbours. Equal roots are connected."""
+    ends = F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))
+    both = links.select(F.inline(ends))
+    return both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.min("u")).alias("root"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id``."""
     spark = docs.sparkSession
@@ -343,26 +385,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     blocks = spread.mapInArrow(_meeting, "block long, class long").distinct()
 
     points = surveyed.where("point IS NOT NULL").groupBy("class").agg(F.first("point").alias("point"), F.first("n").alias("n"))
-    blocks = materialize(blocks.join(points, "class"))
-    held = given.mapInArrow(_wanted_sets(spark.sparkContext.broadcast(_bits(blocks.select("class")))), "class long, held binary")
-    held = materialize(held)
-    held = held.groupBy("class").agg(F.first("held").alias("held"))
+    placed = blocks.join(points, "class").select("block", "class", "n", "point").repartition(shuffle_partitions(spark), "block")
+    led = materialize(placed.mapInArrow(_led, "block long, class long, n long, point binary, leader long"))
+    wanted = spark.sparkContext.broadcast(_bits(led.select("class")))
+    held = materialize(given.mapInArrow(_wanted_sets(wanted), "class long, held binary").dropDuplicates(["class"]))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        with_b = pairs.join(held.select(F.col("class").alias("b"), F.col("held").alias("of_b")), "b")
-        both = with_b.join(held.select(F.col("class").alias("a"), F.col("held").alias("of_a")), "a")
-        return both.select("a", "b", "of_a", "of_b").mapInArrow(_verified, "a long, b long")
-
-    def met(rows: DataFrame, first_round: bool) -> DataFrame:
-        placed = rows.select("block", "class", "n", "point", "root").repartition(shuffle_partitions(spark), "block")
-        return placed.mapInArrow(_pairs(first_round), "a long, b long").distinct()
-
-    tried = materialize(met(blocks.withColumn("root", F.col("class")), True))
-    links = materialize(verified(tried))
+        ends = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a")))
+        needed = flagged(held, F.col("class"), ends).where("__flag")
+        with_b = pairs.join(needed.select(F.col("class").alias("b"), F.col("held").alias("of_b")), "b")
+        both = with_b.join(needed.select(F.col("class").alias("a"), F.col("held").alias("of_a")), "a")
+        return materialize(both.select("a", "b", "of_a", "of_b").mapInArrow(_verified, "a long, b long"))
+
+    led_pairs = led.where("leader IS NOT NULL").select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b"))
+    tried = materialize(led_pairs.distinct())
+    links = verified(tried)
+    # first the likeliest partners of each row, so that large groups grow together before the rest is spelled out
+    for most in ROUNDS:
+        # a cheap start: classes with one least neighbour are connected; before the last round the real components
+        roots = (components(links) if most is None else _least_neighbours(links)).withColumnRenamed("node", "class")
+        rooted = led.drop("leader").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+        crossing = rooted.repartition(shuffle_partitions(spark), "block").mapInArrow(_crossing(most), "a long, b long")
+        new = materialize(crossing.distinct().join(tried, ["a", "b"], "left_anti"))
+        tried, links = tried.unionByName(new), links.unionByName(verified(new))
     roots = components(links)
-    rooted = blocks.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    more = materialize(verified(met(rooted, False).join(tried, ["a", "b"], "left_anti")))
-    roots = components(links.unionByName(more))
 
     classes = full.groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("size"))
     rooted = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
