@@ -10,7 +10,7 @@ import pytest
 from tidetable import schemas
 from tidetable.functions import timewin
 from tidetable.operators import windowed
-from tidetable.operators.changelog import versions_changelog
+from tidetable.operators.changelog import aggregate_changelog, versions_changelog
 from tidetable.session import shared_folder, streaming_session
 from tidetable.sources import files, lines
 from tidetable.streaming import carry, jobs, run, sinks, stateful
@@ -229,3 +229,22 @@ def test_shared_folder_needs_a_setting_off_the_local_master(spark):
 
     with pytest.raises(ValueError):
         shared_folder(Session())
+
+
+def test_visitors_changelog_over_batches_and_a_retry(spark, folder):
+    """Page views and visitors continue over micro-batches, null keys and visitors included; a repeated batch changes nothing."""
+    first = [("h1", 1, "a"), ("h1", 2, "b"), ("h1", 3, None), ("h2", 4, "a"), (None, 5, "a")]
+    second = [("h1", 6, "a"), ("h1", 7, "c"), (None, 8, "a"), (None, 9, None), (None, 10, "b")]
+    schema, held = "dt string, seq int, visitor string", []
+
+    class Writer:
+        def foreachBatch(self, write):
+            held.append(write)
+
+    carry.visitors_changelog_sink(f"{folder}/out", f"{folder}/state", ["dt"], "seq", "visitor")(Writer())
+    for number, rows in ((0, first), (1, second), (1, second)):
+        held[0](spark.createDataFrame(rows, schema), number)
+    whole = spark.createDataFrame(first + second, schema)
+    want = aggregate_changelog(whole, ["dt"], "seq", {"pv": ("count", "*"), "uv": ("count_distinct", "visitor")})
+    got = sinks.read_batches(spark, f"{folder}/out").select(*want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
