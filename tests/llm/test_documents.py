@@ -169,6 +169,34 @@ def test_bounds_never_lose_a_link():
     assert many.points[0].max() == 300
 
 
+def straddling() -> list[tuple]:
+    """Passages of 120, 140 and 160 shingles that grow, on both sides of 128 and 256 groups; neighbours link, ends do not."""
+    rng = random.Random(21)
+    tail = [f"common{i}" for i in range(400)]
+    rows = [(900 + i, " ".join(tail)) for i in range(3)]
+    for k, base in enumerate((124, 250, 60)):
+        words = [f"w{k}x{rng.random()}" for _ in range(base)]
+        step = base // 6
+        rows += [(10 * k + j, " ".join(words + tail[: j * step])) for j in range(3)]
+    return rows
+
+
+def test_coarse_rows_keep_finer_partners_that_follow():
+    base, extra = np.arange(120, dtype=np.uint64), np.arange(1000, 1040, dtype=np.uint64)
+    sets = [hashing.mixed(np.r_[base, extra[:n]], 3) for n in (0, 20, 40)]
+    sets = [np.sort(s) for s in sets]
+    block = ngram_join.Block([ngram_join.point_of(s) for s in sets], np.array([len(s) for s in sets]))
+    assert block.widths.tolist() == [128, 256, 256]
+    led = dict(ngram_join.leaders_of(block))
+    assert 0 in led and led[1] == 2
+    assert (1, 0) in set(ngram_join.crossing_pairs(block, np.array([0, 1, 1]), None))
+
+
+def test_links_across_numbers_of_groups(spark):
+    rows = straddling()
+    assert H.table(ngram_join.near_duplicates(H.docs(spark, rows))) == H.near_components(rows)
+
+
 @pytest.mark.parametrize("rows", ["awkward", "pasted", "none"])
 def test_repeats_removed(spark, rows):
     rows = {"awkward": H.awkward_docs(), "pasted": H.cut_and_pasted(), "none": []}[rows]

@@ -234,29 +234,41 @@ class Block:
         for width in np.unique(self.widths).tolist():
             rows = np.flatnonzero(self.widths == width)
             self.trees[width] = rows, RTree(np.stack([self.points[i] for i in rows]), sizes[rows])
+        self.halved: dict[int, tuple[np.ndarray, RTree]] = {}  # by the halved number of groups, built when asked for
 
-    def near(self, row: int) -> np.ndarray:
-        """Other rows, of at most as many groups as this one has, that may link with it; the likeliest first."""
+    def _finer(self, width: int) -> tuple[np.ndarray, RTree] | None:
+        """The rows of twice ``width`` groups, and a tree of their points at ``width`` groups."""
+        if width not in self.halved and 2 * width in self.trees:
+            rows, tree = self.trees[2 * width]
+            self.halved[width] = rows, RTree(tree.points[:, :width] + tree.points[:, width:], tree.sizes)
+        return self.halved.get(width)
+
+    def near(self, row: int, finer: bool = False) -> np.ndarray:
+        """Other rows, of at most as many groups as this one has, or of more too, that may link with it; the likeliest first."""
         point, width, found, shares = self.points[row], int(self.widths[row]), [], []
         # sizes of linked sets differ by a quarter at most, numbers of groups by a factor of two
-        for _ in range(2):
-            if width in self.trees:
-                rows, tree = self.trees[width]
-                at, bounds = tree.near(point, int(self.sizes[row]))
+        half = point[: width // 2] + point[width // 2 :]
+        held = [(self.trees.get(width), point), (self.trees.get(width // 2), half), (self._finer(width) if finer else None, point)]
+        for rows_and_tree, at_width in held:
+            if rows_and_tree is not None:
+                rows, tree = rows_and_tree
+                at, bounds = tree.near(at_width, int(self.sizes[row]))
                 found.append(rows[at])
                 shares.append(bounds / (self.sizes[rows[at]] + self.sizes[row]))
-            point, width = point[: width // 2] + point[width // 2 :], width // 2
         rows = np.concatenate(found)[np.argsort(-np.concatenate(shares), kind="stable")]
         return rows[rows != row]
 
 
 def leaders_of(block: Block) -> Iterator[tuple[int, int]]:
-    """Rows that may link with any other, each with one leader among these; -1 for the leaders. Large rows lead."""
+    """Rows that may link with any other, each with one leader among these; -1 for the leaders. Large rows lead.
+
+    A row whose only partners are finer and follow others stays too, as a leader of none.
+    """
     free = np.ones(len(block.sizes), bool)
     for row in np.lexsort((np.arange(len(free)), -block.sizes)).tolist():
         if free[row]:
             free[row] = False
-            near = block.near(row)
+            near = block.near(row, finer=True)
             if len(near):
                 yield row, -1
             for other in near[free[near]].tolist():
