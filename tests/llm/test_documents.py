@@ -147,6 +147,37 @@ def test_near_duplicates(spark, rows):
     assert H.table(ngram_join.near_duplicates(H.docs(spark, rows))) == H.near_components(rows)
 
 
+@pytest.mark.parametrize("kind", ["pasted", "group", "passage"])
+def test_blocks_in_parts(spark, kind, monkeypatch):
+    """Parts of a few rows: no link between parts is lost, and parts that are not of one component meet."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(200)]
+    group = [(i, " ".join(w if rng.random() > 0.012 else f"x{rng.random()}" for w in base)) for i in range(60)]
+    # a passage of 62 words before nine of their own: J of 0.76 but for four pairs
+    passage = [(i, " ".join(base[:62] + [f"p{i // 2 if i < 8 else i}x{j}" for j in range(9)] + ["end"] * (i % 2))) for i in range(60)]
+    rows = {"pasted": H.cut_and_pasted(), "group": group, "passage": passage}[kind]
+    met, parts_that_meet = [], ngram_join._parts_that_meet
+    monkeypatch.setattr(ngram_join, "_parts_that_meet", lambda rooted: met.append(parts_that_meet(rooted)) or met[-1])
+    for name, value in (("PART_BYTES", 5 * 4096), ("SMALL", 2), ("PAIRS_AT_ONCE", 7), ("SPOOLED", 16)):
+        monkeypatch.setattr(ngram_join, name, value)
+    assert H.table(ngram_join.near_duplicates(H.docs(spark, rows))) == H.near_components(rows)
+    assert kind == "pasted" or met
+    if kind == "passage":
+        assert met[0].groupBy("block", "part", "other").count().count() > 4
+
+
+def test_blocks_are_cut_into_bounded_parts():
+    import pyarrow as pa
+
+    tokens = np.repeat(np.array([3, 5, 9]), [40, 40, 2])
+    names = np.r_[np.arange(40), np.arange(40), [7, 8]]
+    table = pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(names)], names=["token", "class"])
+    met = [b for b in ngram_join._meeting(iter([table.slice(i, 11) for i in range(0, 82, 11)]))]
+    sizes = Counter(n for b in met for n in b.column("block").to_pylist())
+    assert sorted(sizes.values()) == [2, 40]
+    assert {x for b in met for x in b.column("class").to_pylist()} == set(range(40))
+
+
 def test_one_of_each_group_stays(spark):
     rows = H.edited_copies()
     kept = ngram_join.one_of_each_group(H.docs(spark, rows))

@@ -8,6 +8,8 @@ corner. Pairs whose bound is high enough are verified on the sets.
 Trees are built where pairs can meet. Of each set the rarest ``n - ceil(0.8 n) + 1`` shingles are posted; two sets that
 link share a posted one. Rarity is read from a table of counts by hash of fixed size, filled from all documents, so
 shingles of shared passages hardly get posted. Classes that meet at a shingle form a block; equal blocks are kept once.
+Blocks of more than ``PART_BYTES`` are cut into parts by hash, one tree per part and task, and parts meet in tasks of
+their own, all rows of a block those outside its commonest component.
 Only components are wanted, so a large group is not spelled out in pairs: first each member meets a leader of its
 block, then the likeliest others, and in the end all pairs of different components are verified, which leaves out no link.
 
@@ -19,6 +21,7 @@ about forty bytes of working memory per byte.
 
 from __future__ import annotations
 
+import tempfile
 import zlib
 from collections.abc import Iterator
 
@@ -37,6 +40,13 @@ RARITY_BLOCKS = 64
 LEAF = 64
 ROUNDS = (4, None)  # partners tried per row and round; the last round tries all
 BYTES_AT_ONCE = 1_000_000
+PART_BYTES = 1 << 25  # of a block's points, unpacked, in one part
+ROW_BYTES = 1 << 12
+PAIRS_AT_ONCE = 1 << 18
+HEAD_ROUNDS = 2
+SMALL = 8  # classes; blocks of no more are never cut
+KNOWN_BITS = 16
+SPOOLED = 1 << 23
 
 _FACTORS = [np.uint64(mixed(np.array([k + 1], np.uint64))[0] | np.uint64(1)) for k in range(WORDS)]
 
@@ -161,30 +171,87 @@ def _poster(rarity):
     return post
 
 
+class _Met:
+    """The classes of one token, in a file from ``SPOOLED`` bytes on, with what names their block."""
+
+    def __init__(self, token: int):
+        self.token, self.last, self.total, self.count = token, None, np.zeros(1, np.uint64), 0
+        self.names = tempfile.SpooledTemporaryFile(SPOOLED)
+
+    def add(self, names: np.ndarray) -> None:
+        if len(names):
+            self.total += mixed(names.view(np.uint64), 5).sum(dtype=np.uint64)
+            self.count += len(names)
+            self.last = names[-1]
+            self.names.write(names.tobytes())
+
+    def parts(self) -> Iterator[np.ndarray]:
+        self.names.seek(0)
+        while held := self.names.read(SPOOLED):
+            yield np.frombuffer(held, np.int64)
+
+
+def _named(totals: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return mixed(totals, 9) ^ mixed(sizes.astype(np.uint64), 3)
+
+
 def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Classes that share a token, as blocks named by their members; equal blocks of a task once."""
-    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-    if not parts:
-        return
-    tokens, names = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((names, tokens))
-    tokens, names = tokens[order], names[order]
-    new = np.r_[True, (tokens[1:] != tokens[:-1]) | (names[1:] != names[:-1])]
-    tokens, names = tokens[new], names[new]
-    first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
-    sizes = np.diff(np.r_[first, len(tokens)])
-    several = sizes > 1
-    first, sizes = first[several], sizes[several]
-    if not len(first):
-        return
-    sums = np.r_[np.uint64(0), np.cumsum(mixed(names.view(np.uint64), 5))]
-    blocks = mixed(sums[first + sizes] - sums[first], 9) ^ mixed(sizes.astype(np.uint64), 3)
-    blocks, at = np.unique(blocks, return_index=True)
-    first, sizes = first[at], sizes[at]
-    rows = np.repeat(first - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.repeat(blocks, sizes).view(np.int64)), pa.array(names[rows])], names=["block", "class"]
-    )
+    """Classes that share a token, as blocks named by their members, from rows sorted by token and class.
+
+    Most equal blocks of a task come once; ``large`` tells blocks of more than ``SMALL`` classes.
+    """
+    known = np.zeros(1 << KNOWN_BITS, np.uint64)
+
+    def unknown(blocks: np.ndarray) -> np.ndarray:
+        slots = (blocks >> np.uint64(64 - KNOWN_BITS)).astype(np.int64)
+        new = known[slots] != blocks
+        known[slots[new]] = blocks[new]
+        return new
+
+    def out(blocks: np.ndarray, names: np.ndarray, large: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(blocks.view(np.int64)), pa.array(names), pa.array(large)], names=["block", "class", "large"]
+        )
+
+    def closed(met: _Met) -> Iterator[pa.RecordBatch]:
+        block = _named(met.total, np.array([met.count]))
+        if met.count > 1 and unknown(block)[0]:
+            for names in met.parts():
+                yield out(np.repeat(block, len(names)), names, np.full(len(names), met.count > SMALL))
+        met.names.close()
+
+    met = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        tokens, names = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        new = np.r_[True, (tokens[1:] != tokens[:-1]) | (names[1:] != names[:-1])]
+        new[0] = met is None or tokens[0] != met.token or names[0] != met.last
+        tokens, names = tokens[new], names[new]
+        if met is not None:
+            here = int(np.searchsorted(tokens != met.token, True))
+            met.add(names[:here])
+            tokens, names = tokens[here:], names[here:]
+        if not len(tokens):
+            continue
+        if met is not None:
+            yield from closed(met)
+        first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
+        met = _Met(tokens[-1])  # its rows may go on in the next batch
+        met.add(names[first[-1] :])
+        sizes, first = np.diff(first), first[:-1]
+        several = sizes > 1
+        first, sizes = first[several], sizes[several]
+        if not len(first):
+            continue
+        sums = np.r_[np.uint64(0), np.cumsum(mixed(names.view(np.uint64), 5))]
+        blocks, at = np.unique(_named(sums[first + sizes] - sums[first], sizes), return_index=True)
+        fresh = unknown(blocks)
+        blocks, first, sizes = blocks[fresh], first[at[fresh]], sizes[at[fresh]]
+        rows = np.repeat(first - np.r_[0, np.cumsum(sizes)[:-1]][: len(first)], sizes) + np.arange(sizes.sum())
+        yield out(np.repeat(blocks, sizes), names[rows], np.repeat(sizes > SMALL, sizes))
+    if met is not None:
+        yield from closed(met)
 
 
 class RTree:
@@ -287,48 +354,127 @@ def crossing_pairs(block: Block, roots: np.ndarray, most: int | None) -> Iterato
             yield row, other
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """The table of a task and the rows of each block in it."""
-    parts = [batch for batch in batches if batch.num_rows]
-    if not parts:
-        return
-    table = pa.Table.from_batches(parts)
-    blocks, names = table.column("block").to_numpy(), table.column("class").to_numpy()
-    order = np.lexsort((names, blocks))
-    cuts = np.flatnonzero(np.r_[True, np.diff(blocks[order]) != 0, True])
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        yield table, order[a:b]
+def _cells(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
+    """The rows of equal keys, one table after the other; a task's rows come sorted by them."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        cuts = np.flatnonzero(np.r_[True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns]), True])
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            key = [int(c[a]) for c in columns]
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
 
 
-def _block(table: pa.Table, rows: np.ndarray) -> Block:
-    return Block(table.column("point").take(pa.array(rows)).to_pylist(), table.column("n").to_numpy()[rows])
+def _block(table: pa.Table) -> Block:
+    return Block(table.column("point").to_pylist(), table.column("n").to_numpy())
 
 
 def _led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of all blocks that may link with another one of their block, with their leaders."""
-    table, keep, leaders = None, [], []
-    for table, rows in _blocks(batches):
+    """The rows that may link with another one of their block, with their leaders; of blocks in parts all rows."""
+    chosen, held = [], 0
+    for table in _cells(batches, "block", "part"):
         names = table.column("class").to_numpy()
-        for row, leader in leaders_of(_block(table, rows)):
-            keep.append(int(rows[row]))
-            leaders.append(None if leader < 0 else int(names[rows[leader]]))
-    if keep:
-        chosen = table.take(pa.array(keep)).append_column("leader", pa.array(leaders, pa.int64()))
-        yield from chosen.combine_chunks().to_batches()
+        found = dict(leaders_of(_block(table)))
+        if table.column("parts")[0].as_py() > 1:
+            found = dict.fromkeys(range(len(names)), -1) | found
+        if found:
+            leaders = pa.array([None if x < 0 else int(names[x]) for x in found.values()], pa.int64())
+            chosen.append(table.take(pa.array(list(found))).append_column("leader", leaders))
+            held += chosen[-1].nbytes
+        if held > BYTES_AT_ONCE:
+            yield from pa.concat_tables(chosen).combine_chunks().to_batches()
+            chosen, held = [], 0
+    if chosen:
+        yield from pa.concat_tables(chosen).combine_chunks().to_batches()
+
+
+def _paired(cells: Iterator[tuple[np.ndarray, Iterator[tuple[int, int]]]]) -> Iterator[pa.RecordBatch]:
+    """Pairs of names from pairs of rows, ``PAIRS_AT_ONCE`` at a time."""
+    found: set[tuple[int, int]] = set()
+
+    def batch() -> pa.RecordBatch:
+        a, b = zip(*sorted(found)) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    for names, pairs in cells:
+        for x, y in pairs:
+            found.add((int(min(names[x], names[y])), int(max(names[x], names[y]))))
+            if len(found) >= PAIRS_AT_ONCE:
+                yield batch()
+                found.clear()
+    yield batch()
 
 
 def _crossing(most: int | None):
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: set[tuple[int, int]] = set()
-        for table, rows in _blocks(batches):
-            roots, names = table.column("root").to_numpy()[rows], table.column("class").to_numpy()[rows]
+    """Pairs inside the parts of blocks."""
+
+    def cells(batches):
+        for table in _cells(batches, "block", "part"):
+            roots = table.column("root").to_numpy()
             if (roots != roots[0]).any():
-                for x, y in crossing_pairs(_block(table, rows), roots, most):
-                    found.add((int(min(names[x], names[y])), int(max(names[x], names[y]))))
-        a, b = zip(*sorted(found)) if found else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                yield table.column("class").to_numpy(), crossing_pairs(_block(table), roots, most)
 
-    return pairs
+    return lambda batches: _paired(cells(batches))
+
+
+def _meeting_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs of a part of a block's strays (``asks``) and a part of all its rows."""
+
+    def pairs(table: pa.Table, names: np.ndarray) -> Iterator[tuple[int, int]]:
+        block = _block(table)
+        roots, asks, stray = (table.column(c).to_numpy() for c in ("root", "asks", "stray"))
+        for row in np.flatnonzero(asks).tolist():
+            near = block.near(row, finer=True)
+            # two strays find each other twice
+            for other in near[~asks[near] & (roots[near] != roots[row]) & (~stray[near] | (names[near] > names[row]))].tolist():
+                yield row, other
+
+    def cells():
+        for table in _cells(batches, "block", "part", "other"):
+            names = table.column("class").to_numpy()
+            yield names, pairs(table, names)
+
+    return _paired(cells())
+
+
+def _dealt(rows: DataFrame, weights: DataFrame, salt: int) -> DataFrame:
+    """``rows`` with the number of ``parts`` of their block by the summed weight of ``weights``, and a ``part``."""
+    parts = weights.groupBy("block").agg(F.ceil(F.sum(_weight()) / PART_BYTES).cast("long").alias("parts"))
+    return rows.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("class", F.lit(salt)), F.col("parts")))
+
+
+def _weight():
+    """Bytes of a row's point as unpacked, with something for the row itself."""
+    return F.pow(F.lit(2.0), F.greatest(F.lit(3), F.length(F.bin("n"))) + 1) + ROW_BYTES
+
+
+def _parts_that_meet(rooted: DataFrame) -> DataFrame:
+    """Of blocks in parts with several roots: every part of rows next to every part of strays.
+
+    Strays are the rows without the commonest root of their block; rows with it are of one component already.
+    """
+    counts = rooted.groupBy("block", "root").agg(F.count("*").alias("rows"))
+    common = counts.groupBy("block").agg(F.max_by("root", F.struct("rows", "root")).alias("common"), F.count("*").alias("roots"))
+    held = rooted.join(common.where("roots > 1"), "block").withColumn("stray", F.col("root") != F.col("common"))
+    strays = held.where("stray").select("block", "class", "n")
+    held = held.drop("part", "parts").join(
+        rooted.groupBy("block").agg(F.first("parts").alias("parts")), "block"
+    ).join(strays.groupBy("block").agg(F.ceil(F.sum(_weight()) / PART_BYTES).cast("long").alias("others")), "block")
+    part = F.pmod(F.xxhash64("class", F.lit(1)), F.col("parts"))
+    other = F.pmod(F.xxhash64("class", F.lit(2)), F.col("others"))
+    columns = ["block", "class", "n", "point", "root", "stray"]
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    told = held.select(*columns, F.lit(False).alias("asks"), part.alias("part"), every("others").alias("other"))
+    asking = held.where("stray").select(*columns, F.lit(True).alias("asks"), every("parts").alias("part"), other.alias("other"))
+    return told.unionByName(asking)
 
 
 def _wanted_sets(words):
@@ -393,12 +539,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     for row in totals:
         rarity[row["block"]] = np.frombuffer(row["total"], np.uint32)
     posts = given.mapInArrow(_poster(spark.sparkContext.broadcast(rarity.tobytes())), "token long, class long")
-    spread = posts.repartition(shuffle_partitions(spark), "token")
-    blocks = spread.mapInArrow(_meeting, "block long, class long").distinct()
+    partitions = shuffle_partitions(spark)
+    spread = posts.repartition(partitions, "token").sortWithinPartitions("token", "class")
+    blocks = materialize(spread.mapInArrow(_meeting, "block long, class long, large boolean").distinct())
 
     points = surveyed.where("point IS NOT NULL").groupBy("class").agg(F.first("point").alias("point"), F.first("n").alias("n"))
-    placed = blocks.join(points, "class").select("block", "class", "n", "point").repartition(shuffle_partitions(spark), "block")
-    led = materialize(placed.mapInArrow(_led, "block long, class long, n long, point binary, leader long"))
+    weighed = blocks.where("large").join(points.select("class", "n"), "class").groupBy("block").agg(F.sum(_weight()).alias("weight"))
+    heavy = materialize(weighed.where(F.col("weight") > PART_BYTES).select("block", F.ceil(F.col("weight") / PART_BYTES).cast("long").alias("parts")))
+    in_parts = not heavy.isEmpty()
+
+    def by_cells(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.repartition(partitions, *keys).sortWithinPartitions(*keys)
+
+    placed = blocks.join(points, "class").join(heavy, "block", "left").withColumn("parts", F.coalesce("parts", F.lit(1)).cast("long"))
+    placed = placed.select("block", F.pmod(F.xxhash64("class", F.lit(0)), F.col("parts")).alias("part"), "parts", "class", "n", "point")
+    columns = "block long, part long, parts long, class long, n long, point binary, leader long"
+    led = materialize(by_cells(placed, "block", "part").mapInArrow(_led, columns))
     wanted = spark.sparkContext.broadcast(_bits(led.select("class")))
     held = materialize(given.mapInArrow(_wanted_sets(wanted), "class long, held binary").dropDuplicates(["class"]))
 
@@ -412,14 +568,32 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     led_pairs = led.where("leader IS NOT NULL").select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b"))
     tried = materialize(led_pairs.distinct())
     links = verified(tried)
+    def rooted_by(roots: DataFrame) -> DataFrame:
+        named = roots.withColumnRenamed("node", "class")
+        return led.drop("leader").join(named, "class", "left").withColumn("root", F.coalesce("root", "class"))
+
+    def tried_too(crossing: DataFrame) -> None:
+        nonlocal tried, links
+        new = materialize(crossing.distinct().join(tried, ["a", "b"], "left_anti"))
+        tried, links = tried.unionByName(new), links.unionByName(verified(new))
+
     # first the likeliest partners of each row, so that large groups grow together before the rest is spelled out
     for most in ROUNDS:
         # a cheap start: classes with one least neighbour are connected; before the last round the real components
-        roots = (components(links) if most is None else _least_neighbours(links)).withColumnRenamed("node", "class")
-        rooted = led.drop("leader").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-        crossing = rooted.repartition(shuffle_partitions(spark), "block").mapInArrow(_crossing(most), "a long, b long")
-        new = materialize(crossing.distinct().join(tried, ["a", "b"], "left_anti"))
-        tried, links = tried.unionByName(new), links.unionByName(verified(new))
+        rooted = rooted_by(components(links) if most is None else _least_neighbours(links))
+        crossing = by_cells(rooted if most else rooted.where("parts = 1"), "block", "part").mapInArrow(_crossing(most), "a long, b long")
+        if most is None and in_parts:
+            # one row of each component in a block in parts, dealt anew: parts of one group grow together
+            for salt in range(HEAD_ROUNDS):
+                heads = materialize(rooted.where("parts > 1").groupBy("block", "root").agg(F.min(F.struct("class", "n", "point")).alias("head")))
+                heads = heads.select("block", "root", "head.*")
+                dealt = by_cells(_dealt(heads, heads, 10 + salt), "block", "part")
+                tried_too(dealt.mapInArrow(_crossing(ROUNDS[0]), "a long, b long"))
+                rooted = rooted_by(components(links))
+            crossing = by_cells(rooted.where("parts = 1"), "block", "part").mapInArrow(_crossing(None), "a long, b long")
+            apart = _parts_that_meet(materialize(rooted.where("parts > 1")))
+            crossing = crossing.unionByName(by_cells(apart, "block", "part", "other").mapInArrow(_meeting_parts, "a long, b long"))
+        tried_too(crossing)
     roots = components(links)
 
     classes = full.groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("size"))
