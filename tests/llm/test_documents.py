@@ -235,6 +235,36 @@ def test_repeats_removed(spark, rows):
     assert H.table(suffix_dedup.digests(suffix_dedup.without_repeats(H.docs(spark, rows)))) == H.removed_repeats(rows)
 
 
+@pytest.mark.parametrize("run", [0, 5])
+def test_large_runs_are_dealt_out(spark, run, monkeypatch):
+    """A header before different texts is one run of many contexts; none of them is sorted in one task."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh ") for _ in range(500))
+    header, shared = "licence " * 3 + word()[:300], word()
+    rows = [(i, header + word() + (shared if i % 9 == 0 else "")) for i in range(40)]
+    rows += [(100 + i, header + shared[:200] + word()) for i in range(3)]
+    monkeypatch.setattr(suffix_dedup, "RUN", run)
+    asked, flagged = [], suffix_dedup.flagged
+    monkeypatch.setattr(suffix_dedup, "flagged", lambda *x: asked.append(1) or flagged(*x))
+    assert H.table(suffix_dedup.digests(suffix_dedup.without_repeats(H.docs(spark, rows)))) == H.removed_repeats(rows)
+    assert len(asked) == 3  # texts are asked for once by small and once by large runs
+
+
+def test_equal_contexts_meet_over_batches():
+    import pyarrow as pa
+
+    high, low = np.array([1, 1, 1, 1, 2, 3, 3]), np.zeros(7, np.int64)
+    n = np.arange(7)
+    table = pa.RecordBatch.from_arrays(
+        [pa.array(x) for x in (high, high, low, n, n, n, n, n, np.zeros(7, bool))], names=suffix_dedup._FOUND.names
+    )
+    for size in (1, 2, 3, 7):
+        told = pa.Table.from_batches(suffix_dedup._classes(iter([table.slice(i, size) for i in range(0, 7, size)])))
+        assert told.column("doc_id").to_pylist() == n.tolist()
+        assert told.column("settled").to_pylist() == [True] * 4 + [False, True, True]
+        assert told.column("chosen").to_pylist() == [True, False, False, False, True, True, False]
+
+
 def test_long_texts_are_cut_into_stretches(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "STRETCH", 700)
     import pyarrow as pa

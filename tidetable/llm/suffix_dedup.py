@@ -6,7 +6,8 @@ equal choose the same place in themselves, the least hash of ``GRAM`` bytes, lef
 their anchors have one hash, a run, and lie equally deep in them.
 
 An anchor's context is all strings that choose it. Contexts equal as a whole, told by a 128-bit digest, need no
-comparison, and a task sends one of them. What is left, runs with different contexts, is sorted: the suffixes of the
+comparison, and a task sends one of them. Of runs of more than ``RUN`` different contexts the strings meet by a 128-bit
+digest each, so no task holds such a run. What is left, smaller runs with different contexts, is sorted: the suffixes of the
 contexts that hold the anchor equally deep, by a mergesort in which two suffixes are compared in a logarithmic number
 of steps. Prefix sums of a polynomial hash give the hash of any stretch, and a binary search over them the length of
 the common beginning. Neighbours in the sorted order that share ``LENGTH`` bytes are repeated. All neighbours are
@@ -33,6 +34,7 @@ GRAM = 128
 BYTES_AT_ONCE = 1 << 20
 _PLACE_BITS = 24
 _PLACES = np.uint64((1 << _PLACE_BITS) - 1)
+RUN = 2048  # contexts of one run that are sorted in one task
 STRETCH = 1 << 22  # starts of a long text worked on at once; with their strings below 2 ** _PLACE_BITS
 
 
@@ -115,38 +117,47 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch.set_column(0, "run", pa.array(run[order], pa.int64(), mask=~fresh))
 
 
-_OPEN = pa.schema([
+_CLASSES = pa.schema([
     ("run", pa.int64()), ("doc_id", pa.int64()), ("print", pa.int64()),
-    ("place", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("settled", pa.bool_()), ("compare", pa.bool_()),
+    ("place", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("settled", pa.bool_()), ("chosen", pa.bool_()),
 ])
-_OPEN_DDL = "run long, doc_id long, print long, place long, first long, last long, settled boolean, compare boolean"
+_CLASSES_DDL = "run long, doc_id long, print long, place long, first long, last long, settled boolean, chosen boolean"
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts by run: what equal contexts settle, and one of each context where different ones are to be compared."""
-    parts = [batch for batch in batches if batch.num_rows]
-    if not parts:
+def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts, sorted by digest: whether an equal one settles them, and of equal ones the first as chosen."""
+    last, open_rows = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch] if open_rows is None else [*open_rows, batch])
+        high, low = table.column("high").to_numpy(), table.column("low").to_numpy()
+        starts = np.flatnonzero(np.r_[True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])])
+        # the last two rows stay: with them it is known whether the digest goes on
+        first_open = max(int(starts[-1]), len(table) - 2)
+        yield from _told(table, starts, first_open, last)
+        last = (int(high[first_open - 1]), int(low[first_open - 1])) if first_open else last
+        open_rows = table.slice(first_open).combine_chunks().to_batches()
+    if open_rows is not None:
+        table = pa.Table.from_batches(open_rows)
+        high, low = table.column("high").to_numpy(), table.column("low").to_numpy()
+        starts = np.flatnonzero(np.r_[True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])])
+        yield from _told(table, starts, len(table), last)
+
+
+def _told(table: pa.Table, starts: np.ndarray, end: int, last: tuple[int, int] | None) -> Iterator[pa.RecordBatch]:
+    if not end:
         return
-    table = pa.Table.from_batches(parts)
-    run, high, low = (table.column(c).to_numpy() for c in ("run", "high", "low"))
-    order = np.lexsort((low, high, run))
-    run, high, low = run[order], high[order], low[order]
-    new_run = np.r_[True, run[1:] != run[:-1]]
-    fresh = new_run | np.r_[True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])]
-    starts = np.flatnonzero(fresh)
-    settled = table.column("settled").to_numpy()[order]
-    sizes = np.diff(np.r_[starts, len(order)])
-    class_settled = (sizes > 1) | np.logical_or.reduceat(settled, starts)
-    run_of_class = np.cumsum(new_run)[starts] - 1
-    n_classes = np.bincount(run_of_class)
-    n_open = np.bincount(run_of_class, weights=~class_settled)
-    compare = np.zeros(len(order), bool)
-    compare[starts] = ((n_classes > 1) & (n_open > 0))[run_of_class]
-    settled = np.repeat(class_settled, sizes)
-    keep = settled | compare
-    chosen = table.take(pa.array(order[keep]))
-    columns = [chosen.column(c).combine_chunks() for c in ("run", "doc_id", "print", "place", "first", "last")]
-    yield pa.RecordBatch.from_arrays([*columns, pa.array(settled[keep]), pa.array(compare[keep])], schema=_OPEN)
+    sizes = np.diff(np.r_[starts, len(table)])
+    settled = np.logical_or.reduceat(table.column("settled").to_numpy(), starts) | (sizes > 1)
+    chosen = np.zeros(len(table), bool)
+    chosen[starts] = True
+    if last == (table.column("high")[0].as_py(), table.column("low")[0].as_py()):
+        settled[0], chosen[0] = True, False
+    settled = np.repeat(settled, sizes)
+    columns = [table.column(c).combine_chunks() for c in ("run", "doc_id", "print", "place", "first", "last")]
+    told = pa.RecordBatch.from_arrays([*columns, pa.array(settled), pa.array(chosen)], schema=_CLASSES)
+    yield told.slice(0, end)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,6 +174,23 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 7, types)], names=names)
 
 
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of contexts of large runs, the digest of every string of ``LENGTH`` bytes and where it starts."""
+    for batch in batches:
+        for doc_id, fingerprint, text, wanted in zip(*(batch.column(i) for i in range(4))):
+            held = memoryview(text.as_buffer())
+            for x in wanted.as_py():
+                starts = range(x["first"], x["last"] + 1)
+                named = b"".join(hashlib.blake2b(held[i : i + LENGTH], digest_size=16).digest() for i in starts)
+                named = np.frombuffer(named, np.int64).reshape(-1, 2)
+                n = len(named)
+                columns = [
+                    pa.array(named[:, 0].copy()), pa.array(named[:, 1].copy()), pa.array([doc_id.as_py()] * n, pa.int64()),
+                    pa.array(np.full(n, fingerprint.as_py())), pa.array(np.arange(starts.start, starts.stop)), pa.array(np.full(n, x["settled"])),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["high", "low", "doc_id", "print", "first", "settled"])
+
+
 class SuffixOrder:
     """Suffixes of byte strings, compared over ``LENGTH`` bytes by the hashes of their common beginnings."""
 
@@ -326,17 +354,31 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     long_enough = given.where(F.octet_length("body") >= LENGTH)
     contexts = materialize(long_enough.mapInArrow(_contexts, _FOUND_DDL))
     partitions = shuffle_partitions(spark)
-    met = contexts.where("run IS NOT NULL").repartition(partitions, "run")
-    met = materialize(met.mapInArrow(_runs, _OPEN_DDL))
+    met = contexts.where("run IS NOT NULL").repartition(partitions, "high", "low").sortWithinPartitions("high", "low")
+    met = materialize(met.mapInArrow(_classes, _CLASSES_DDL))
+    counts = met.where("chosen").groupBy("run").agg(F.count("*").alias("n"), F.bool_or(~F.col("settled")).alias("open"))
+    runs = counts.where("n > 1 AND open").select("run", (F.col("n") > RUN).alias("large"))
+    compare = materialize(met.where("chosen").drop("chosen").join(runs, "run"))
 
     request = F.struct("run", "place", "first", "last", "settled")
-    asked = materialize(met.where("compare").groupBy("doc_id", "print").agg(F.collect_list(request).alias("wanted")))
-    asked = asked.withColumnsRenamed({"doc_id": "__id", "print": "__print"})
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("print") == F.col("__print"))
-    holders = flagged(long_enough, F.col("print"), asked.select("__print")).where("__flag")
-    wanted = holders.join(asked, same).select("doc_id", "print", "body", "wanted")
+
+    def with_texts(chosen: DataFrame) -> DataFrame:
+        asked = materialize(chosen.groupBy("doc_id", "print").agg(F.collect_list(request).alias("wanted")))
+        asked = asked.withColumnsRenamed({"doc_id": "__id", "print": "__print"})
+        holders = flagged(long_enough, F.col("print"), asked.select("__print")).where("__flag")
+        return holders.join(asked, same).select("doc_id", "print", "body", "wanted")
+
+    wanted = with_texts(compare.where(~F.col("large")))
     cut = wanted.mapInArrow(_cut, "run long, doc_id long, print long, depth long, first long, settled boolean, bytes binary")
     compared = cut.repartition(partitions, "run").mapInArrow(_compared, "doc_id long, print long, first long, last long")
+    large = compare.where("large")
+    if not large.isEmpty():
+        ddl = "high long, low long, doc_id long, print long, first long, settled boolean"
+        strings = materialize(with_texts(large).mapInArrow(_digested, ddl))
+        twice = strings.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+        found = strings.where(~F.col("settled")).join(twice, ["high", "low"])
+        compared = compared.unionByName(found.select("doc_id", "print", "first", F.col("first").alias("last")))
 
     columns = ["doc_id", "print", "first", "last"]
     ranges = contexts.where("settled").select(*columns).unionByName(met.where("settled").select(*columns)).unionByName(compared)
