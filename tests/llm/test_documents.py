@@ -113,6 +113,15 @@ def test_packing_ids_are_the_tokenizers(encoding):
         assert np.frombuffer(own.ids(text), np.uint16).tolist() == want
 
 
+def test_packing_finds_the_special_token():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    own = packing.PieceTokenizer(packing.default_ranks())
+    end = "<|endoftext|>"
+    for text in [end, f"a {end} b", f"{end}{end}", f" one two three four {end}five\n {end} \n", "<|endoftext |>", f"x {end[:-1]}"]:
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.ids(text), np.uint16).tolist() == want
+
+
 def test_packing(spark, encoding):
     rows = H.awkward_docs() + given(spark)
     pieces = packing.pack(H.docs(spark, rows), with_ids=True).collect()

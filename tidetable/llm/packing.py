@@ -26,6 +26,7 @@ from tidetable.llm.shared import materialize, ship, text_of
 
 WINDOW = 2048
 END_ID = 1
+SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256  # the added token of the tokenizers file, found inside texts too
 
 
 def default_ranks() -> str:
@@ -58,6 +59,8 @@ class PieceTokenizer:
         self.table = PieceTable()
 
     def ids(self, text: str) -> bytes:
+        if SPECIAL in text:
+            return np.array([SPECIAL_ID], np.uint16).tobytes().join([self.ids(x) if x else b"" for x in text.split(SPECIAL)])
         pieces = pieces_of(text)
         if pieces is None or len(pieces) < 3:
             return np.array(self.encode(text), np.uint16).tobytes()
