@@ -279,3 +279,9 @@ def test_wall_clocks_ignore_the_sessions_zone(spark):
     texts = [str(r[0]) for r in df.select(F.col("wall").cast("string")).collect()]
     assert texts == [str(datetime(1970, 1, 1) + timedelta(seconds=s)) for s in seconds]
     assert df.where(tables.utc_instant("wall") != F.col("ts")).count() == 0
+
+
+def test_dates_of_a_key_fall_into_many_blocks(spark):
+    days = spark.range(100).selectExpr("1 AS k", "date_add(DATE'2024-01-01', CAST(id AS INT)) AS d", "id AS v")
+    placed = ordered._placed(days, ["k"], "d", ordered.BLOCK_WIDTH)
+    assert placed.select(ordered._BLOCK).distinct().count() == 100

@@ -27,7 +27,7 @@ def _number(df: DataFrame, order: str) -> Column:
     """The order column as a long that grows with it; null in front."""
     column, kind = F.col(order), df.schema[order].dataType
     if isinstance(kind, DateType):
-        column = F.unix_date(column)
+        column = F.unix_date(column).cast("long") * 86_400_000_000  # as timestamps, so that a day is a block
     elif isinstance(kind, TimestampType):
         column = F.unix_micros(column)
     elif isinstance(kind, TimestampNTZType):  # by its fields, so that no zone is involved
