@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidetable.llm import byte_bpe, chat, exact_dedup, ngram_join, packing, page_text, quality, secret_scan, suffix_dedup, topk_search
+from tidetable.llm import (
+    byte_bpe,
+    chat,
+    exact_dedup,
+    hard_negatives,
+    ngram_join,
+    packing,
+    page_text,
+    quality,
+    secret_scan,
+    spelling,
+    suffix_dedup,
+    topk_search,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +68,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_page_text": op2_page_text,
@@ -66,6 +88,8 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_spelling": op12_spelling,
 }
 
 ORACLES = {
@@ -130,4 +154,27 @@ ORACLES = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
         FROM texts JOIN best USING (body)
     """,
+    "op11_hard_negatives": """
+        WITH whole AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS own,
+                   CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM whole a JOIN whole c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+        ), chosen AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE own
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        ), inside AS (
+            SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+                   row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+            FROM chosen JOIN scored s USING (anchor_id)
+            WHERE NOT s.own AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+        )
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+        FROM inside WHERE rank <= 5
+    """,
 }
