@@ -9,6 +9,7 @@ from tidetable.llm import (
     chat,
     exact_dedup,
     hard_negatives,
+    lm_scoring,
     ngram_join,
     packing,
     page_text,
@@ -77,6 +78,10 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(_table(spark, sf_dir, "documents"))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_page_text": op2_page_text,
@@ -90,6 +95,7 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_spelling": op12_spelling,
+    "op13_lm_scoring": op13_lm_scoring,
 }
 
 ORACLES = {
