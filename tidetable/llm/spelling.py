@@ -19,15 +19,17 @@ from __future__ import annotations
 
 import itertools
 import math
+import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidetable.llm.shared import materialize, ship
+from tidetable.llm.shared import materialize, ship, text_of
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-RUN = "[a-zÀ-ÿ]+"
 DRAW = 199
 LEAST_LENGTH = 6
 LEAST_COUNT = 5
@@ -35,25 +37,47 @@ RATIO = 5
 PARTS = 5
 CROWD = 64
 
+HELD_WORDS = 500_000  # words a task counts before it hands them on
+LONG_TEXT = 1 << 22
+
+_run = re.compile(f"[a-zÀ-ÿ]{{{LEAST_LENGTH},}}")
 _KEPT_PARTS = list(itertools.combinations(range(PARTS), PARTS - 2))
+_VALUES = [f"part_{i}" for i in range(PARTS)]
 
 
-def counted_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``word, n``: words of ``LEAST_LENGTH`` letters and ``LEAST_COUNT`` occurrences at least, over whole texts.
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of a task's texts with partial counts; a run loses a letter where 199 divides its checksum."""
+    held: Counter[str] = Counter()
+
+    def given() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], names=["word", "n"])
+
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            lowered = text.as_py().encode().lower().decode()  # bytes: A-Z only
+            runs = _run.findall(lowered) if len(lowered) < LONG_TEXT else (m[0] for m in _run.finditer(lowered))
+            of_id = zlib.crc32(f"{doc_id}:".encode())
+            for run, n in Counter(runs).items():
+                drawn = zlib.crc32(run.encode(), of_id)
+                if drawn % DRAW == 0:
+                    place = drawn % len(run)
+                    run = run[:place] + run[place + 1 :]
+                    if len(run) < LEAST_LENGTH:
+                        continue
+                held[run] += n
+            if len(held) > HELD_WORDS:
+                yield given()
+                held = Counter()
+    if held:
+        yield given()
 
-    A run of letters loses one where 199 divides the checksum of its document and itself.
-    """
-    lowered = F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), UPPER, LOWER)
-    runs = docs.select(
-        F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("__id"),
-        F.explode(F.regexp_extract_all(lowered, F.lit(RUN), F.lit(0))).alias("run"),
-    ).where(F.length("run") >= LEAST_LENGTH)
-    drawn = F.crc32(F.encode(F.concat("__id", F.lit(":"), "run"), "UTF-8"))
-    place = F.pmod(drawn, F.length("run")).cast("int")
-    without = F.concat(F.col("run").substr(F.lit(1), place), F.col("run").substr(place + 2, F.length("run")))
-    word = F.when(F.pmod(drawn, F.lit(DRAW)) == 0, without).otherwise(F.col("run"))
-    words = runs.select(word.alias("word")).where(F.length("word") >= LEAST_LENGTH)
-    return words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_COUNT)
+
+def counted_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``word, n``: words of ``LEAST_LENGTH`` letters and ``LEAST_COUNT`` occurrences at least, over whole texts."""
+    ship(docs.sparkSession)
+    given = docs.select(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("id"), text_of(text).alias("text"))
+    words = given.mapInArrow(_counted, "word string, n long")
+    return words.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
 
 
 def _mixed(value: int) -> int:
@@ -75,32 +99,27 @@ def part_values(word: str) -> list[int]:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All signatures of each word: its number, the key and the parts from which it comes."""
+    """Every word once per choice of parts, with the choice's number and what all parts hold."""
     for batch in batches:
-        words, counts = batch.column(0), batch.column(1)
-        choice, parts, row = [], [], []
-        for at, word in enumerate(words.to_pylist()):
-            held = part_values(word)
-            for number in range(len(_KEPT_PARTS)):
-                choice.append(number)
-                parts.append(held)
-                row.append(at)
-        taken = pa.array(row, pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [words.take(taken), counts.take(taken), pa.array(choice, pa.int32()), pa.array(parts, pa.list_(pa.int32()))],
-            names=["word", "n", "choice", "parts"],
-        )
-
-
-def _agreed(choice: Column, a: Column, b: Column) -> Column:
-    """Whether ``choice`` is the first choice of parts on which both words agree."""
-    first = F.lit(len(_KEPT_PARTS))
-    for number in reversed(range(len(_KEPT_PARTS))):
-        same = F.lit(True)
-        for part in _KEPT_PARTS[number]:
-            same = same & (a[part] == b[part])
-        first = F.when(same, F.lit(number)).otherwise(first)
-    return first == choice
+        held = np.array([part_values(word) for word in batch.column(0).to_pylist()], np.int32).reshape(-1, PARTS)
+        taken = np.repeat(np.arange(batch.num_rows), len(_KEPT_PARTS))
+        choice = np.tile(np.arange(len(_KEPT_PARTS), dtype=np.int32), batch.num_rows)
+        rows = pa.array(taken)
+        columns = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(choice)]
+        columns += [pa.array(held[taken, part]) for part in range(PARTS)]
+        yield pa.RecordBatch.from_arrays(columns, names=["word", "n", "choice", *_VALUES])
+
+
+def _first_choices() -> list[int]:
+    """For every set of parts, as bits, the first choice that lies in it."""
+    inside = [[n for n, kept in enumerate(_KEPT_PARTS) if all(mask >> p & 1 for p in kept)] for mask in range(1 << PARTS)]
+    return [found[0] if found else -1 for found in inside]
+
+
+def _agreed() -> Column:
+    """Whether the choice of a pair's rows is the first one on whose parts both words agree."""
+    mask = sum(((F.col(v) == F.col(f"o_{v}")).cast("int") * (1 << i) for i, v in enumerate(_VALUES)), F.lit(1))
+    return F.element_at(F.array(*[F.lit(n) for n in _first_choices()]), mask) == F.col("choice")
 
 
 def _pairs(rows: DataFrame, also: Column | None = None) -> DataFrame:
@@ -109,7 +128,7 @@ def _pairs(rows: DataFrame, also: Column | None = None) -> DataFrame:
     meet = (F.col("key") == F.col("o_key")) & (F.col("word") < F.col("o_word"))
     meet = meet & (F.abs(F.length("word") - F.length("o_word")) <= 1)
     met = rows.join(right, meet if also is None else meet & also)
-    near = _agreed(F.col("choice"), F.col("parts"), F.col("o_parts")) & (F.levenshtein("word", "o_word", 1) == 1)
+    near = _agreed() & (F.levenshtein("word", "o_word", 1) == 1)
     return met.where(near).select("word", "n", F.col("o_word").alias("other"), F.col("o_n").alias("other_n"))
 
 
@@ -131,7 +150,7 @@ def _with_halves(rows: DataFrame) -> DataFrame:
             options.append(F.struct(shortest.alias("shortest"), F.lit(side).alias("side"), part.alias("half")))
     halves = rows.select("*", F.explode(F.array(*options)).alias("__h"))
     key = F.xxhash64("key", "__h.shortest", "__h.side", "__h.half")
-    return halves.select("word", "n", "choice", "parts", key.alias("key"), F.col("__h.shortest").alias("shortest"))
+    return halves.select("word", "n", "choice", *_VALUES, key.alias("key"), F.col("__h.shortest").alias("shortest"))
 
 
 def _with_deletions(rows: DataFrame) -> DataFrame:
@@ -148,9 +167,9 @@ def _with_deletions(rows: DataFrame) -> DataFrame:
 def near_pairs(words: DataFrame, crowd: int = CROWD) -> DataFrame:
     """``word, n, other, other_n``, once per pair of words (``word, n``, distinct) that differ by exactly one letter."""
     ship(words.sparkSession)
-    schema = "word string, n long, choice int, parts array<int>"
+    schema = ", ".join(["word string, n long, choice int", *[f"{v} int" for v in _VALUES]])
     signed = words.select("word", "n").mapInArrow(_signed, schema)
-    key = F.xxhash64("choice", *[F.when(_takes("choice", part), F.col("parts")[part]) for part in range(PARTS)])
+    key = F.xxhash64("choice", *[F.when(_takes("choice", part), F.col(v)) for part, v in enumerate(_VALUES)])
     few, many = _split(materialize(signed.withColumn("key", key)), crowd)
     few_halves, many_halves = _split(materialize(_with_halves(many)), crowd)
     shortest = F.col("shortest") == F.least(F.length("word"), F.length("o_word"))
