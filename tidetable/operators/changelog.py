@@ -7,21 +7,23 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from tidetable.operators import ordered
+from tidetable.operators import ordered, running
 from tidetable.operators.ordered import BEFORE_ALL, BLOCK_WIDTH
 
 # result column -> (function, column)
 Measures = Mapping[str, tuple[str, str]]
 
 
-def _steps(df: DataFrame, keys: Sequence[str], seq: str, measures: Measures) -> tuple[DataFrame, list[str]]:
+def _steps(
+    df: DataFrame, keys: Sequence[str], seq: str, measures: Measures, firsts: DataFrame | None = None
+) -> tuple[DataFrame, list[str]]:
     """What every record adds to its key's running state: ``keys, seq, __record`` and one column per state name."""
     distinct = [col for fn, col in measures.values() if fn == "count_distinct"]
     if len(distinct) > 1:
         raise ValueError("at most one count_distinct per change-log")
     steps = df.select("*", F.lit(1).alias("__record"), F.lit(0).alias("__first"))
     if distinct:
-        firsts = df.where(F.col(distinct[0]).isNotNull()).groupBy(*keys, distinct[0]).agg(F.min(seq).alias(seq))
+        firsts = running.first_sightings(df, keys, distinct[0], seq) if firsts is None else firsts
         firsts = firsts.select(*keys, seq, F.lit(0).alias("__record"), F.lit(1).alias("__first"))
         steps = steps.unionByName(firsts, allowMissingColumns=True)
 
@@ -49,15 +51,18 @@ def aggregate_changelog(
     emit_unchanged: bool = False,
     opening: DataFrame | None = None,
     width: int = BLOCK_WIDTH,
+    firsts: DataFrame | None = None,
 ) -> DataFrame:
     """All updates of ``GROUP BY keys`` as records arrive: ``op, keys, seq, *measures``.
 
     Measures are ``('sum', column)``, ``('count', column or '*')`` and at most one ``('count_distinct', column)``.
     Each record retracts its key's last result, if any, and adds the new one; a record that leaves the result
-    unchanged emits nothing unless ``emit_unchanged`` (the behaviour under idle-state retention). Sums need an exact
-    type, so that what is retracted equals what was added. ``opening`` is the `closing_state` of earlier input.
+    unchanged emits nothing unless ``emit_unchanged`` (the behaviour under idle-state retention). Records of one key with equal
+    numbers, as a source that repeats itself delivers them, are one step. Sums need an exact
+    type, so that what is retracted equals what was added. ``opening`` is the `closing_state` of earlier input; a distinct
+    count then needs ``firsts``, the `running.first_sightings` that the earlier input had not seen.
     """
-    steps, state = _steps(df, keys, seq, measures)
+    steps, state = _steps(df, keys, seq, measures, firsts)
     if opening is not None:
         steps = steps.unionByName(opening.withColumn(seq, F.lit(BEFORE_ALL)).withColumn("__record", F.lit(0)))
     # a record and its visitor's first sighting share one position, so they form one step
@@ -69,7 +74,8 @@ def aggregate_changelog(
         peers=True,
         step_suffix="__step",
         width=width,
-    ).where("__record = 1")
+        head=("__head", F.col("__record")),
+    ).where("__record = 1 and __head")
     types = {f.name: f.dataType for f in run.schema}
 
     def result(before: bool) -> list:
@@ -81,28 +87,34 @@ def aggregate_changelog(
             for name, (fn, _) in measures.items()
         ]
 
-    pairs = run.select(*keys, seq, "__rows", F.struct(*result(True)).alias("__old"), F.struct(*result(False)).alias("__new"))
+    first_step = (F.col("__rows") == F.col("__rows__step")).alias("__first_step")
+    pairs = run.select(*keys, seq, first_step, F.struct(*result(True)).alias("__old"), F.struct(*result(False)).alias("__new"))
     if not emit_unchanged:
-        pairs = pairs.where((F.col("__rows") == 1) | ~F.col("__old").eqNullSafe(F.col("__new")))
+        pairs = pairs.where(F.col("__first_step") | ~F.col("__old").eqNullSafe(F.col("__new")))
     emitted = F.array(
         F.struct(F.lit(False).alias("op"), F.col("__old").alias("row")),
         F.struct(F.lit(True).alias("op"), F.col("__new").alias("row")),
     )
-    log = pairs.select(*keys, seq, "__rows", F.explode(emitted).alias("__change"))
-    shown = log.where("__change.op or __rows > 1").select("__change.op", *keys, seq, "__change.row.*")
+    log = pairs.select(*keys, seq, "__first_step", F.explode(emitted).alias("__change"))
+    shown = log.where("__change.op or not __first_step").select("__change.op", *keys, seq, "__change.row.*")
     return ordered.typed_like(shown, df.select(*keys, seq))
 
 
 def closing_state(
-    df: DataFrame, keys: Sequence[str], seq: str, measures: Measures, opening: DataFrame | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    measures: Measures,
+    opening: DataFrame | None = None,
+    firsts: DataFrame | None = None,
 ) -> DataFrame:
     """Per-key state after all records, from which the change-log of later input goes on.
 
-    Distinct counts would need every visitor ever seen, so they cannot be continued.
+    Distinct counts cannot be continued from totals alone: ``firsts`` says which visitors are new.
     """
-    if any(fn == "count_distinct" for fn, _ in measures.values()):
-        raise ValueError("a change-log of distinct counts cannot be continued from totals")
-    steps, state = _steps(df, keys, seq, measures)
+    if firsts is None and any(fn == "count_distinct" for fn, _ in measures.values()):
+        raise ValueError("a change-log of distinct counts cannot be continued without first sightings")
+    steps, state = _steps(df, keys, seq, measures, firsts)
     steps = steps.select(*keys, *state)
     if opening is not None:
         steps = steps.unionByName(opening)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DataType, DateType, DecimalType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DataType, DateType, DecimalType, IntegralType, TimestampNTZType, TimestampType
 
 BLOCK_WIDTH = 1 << 22
 # an order number in front of every arrival number
@@ -38,6 +38,12 @@ def _number(df: DataFrame, order: str) -> Column:
     return F.coalesce(column.cast("long"), F.lit(_LEAST))
 
 
+def before_all(df: DataFrame, order: str) -> Column:
+    """An order value in front of all others, for what earlier input leaves behind."""
+    kind = df.schema[order].dataType
+    return F.lit(BEFORE_ALL) if isinstance(kind, IntegralType) else F.lit(None).cast(kind)
+
+
 def _placed(df: DataFrame, keys: Sequence[str], order: str, width: int) -> DataFrame:
     bits = max(width - 1, 1).bit_length()
     place = df.select("*", F.struct(*keys).alias(_KEY), _number(df, order).alias(_PLACE))
@@ -67,11 +73,13 @@ def running_sums(
     peers: bool = False,
     step_suffix: str | None = None,
     width: int = BLOCK_WIDTH,
+    head: tuple[str, Column] | None = None,
 ) -> DataFrame:
     """Add, per key and along ``order``, the running total of each non-null expression in ``sums``.
 
     With ``peers`` rows of equal order share one total (a range frame), otherwise each row is a step of its own.
-    ``step_suffix`` also adds what that last step contributed, under the total's name plus the suffix.
+    ``step_suffix`` also adds what that last step contributed, under the total's name plus the suffix. ``head`` names a column
+    that is true for one row of each order number, the one where the given column is largest.
     """
     types = {name: sum_type(df, e) for name, e in sums.items()}
     placed = _placed(df, keys, order, width)
@@ -84,6 +92,9 @@ def running_sums(
         *[F.sum(e).over(frame).cast(types[name]).alias(f"__in_{name}") for name, e in sums.items()],
         *[F.sum(e).over(own).cast(types[name]).alias(name + step_suffix) for name, e in sums.items() if step_suffix],
     )
+    if head:
+        peers_of = Window.partitionBy(_KEY, _BLOCK, _PLACE).orderBy(head[1].desc())
+        local = local.withColumn(head[0], F.row_number().over(peers_of) == 1)
 
     def added(*parts: str):
         """Columns summed name by name; a missing one is nothing."""
@@ -93,19 +104,22 @@ def running_sums(
                 total = (total + F.coalesce(F.col(part + name), F.lit(0).cast(kind))).cast(kind)
             yield name, total
 
-    def before(level: str, by: str, place: str) -> list[Column]:
+    def before(level: str, place: str, *by: str) -> list[Column]:
         """What the rows in front of this one, within ``by``, add up to."""
-        ahead = Window.partitionBy(_KEY, *([by] if by else [])).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+        ahead = Window.partitionBy(_KEY, *by).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
         return [F.sum(f"__of_{name}").over(ahead).cast(kind).alias(level + name) for name, kind in types.items()]
 
     blocks = placed.groupBy(_KEY, _LARGE, _BLOCK).agg(*[F.sum(e).cast(types[n]).alias(f"__of_{n}") for n, e in sums.items()])
-    large = blocks.groupBy(_KEY, _LARGE).agg(*[F.sum(f"__of_{n}").cast(t).alias(f"__of_{n}") for n, t in types.items()])
-    to_large = large.select(_KEY, _LARGE, *before("__far_", "", _LARGE))
-    to_block = _with_carry(blocks.select(_KEY, _LARGE, _BLOCK, *before("__near_", _LARGE, _BLOCK)), to_large, _LARGE)
+    # a larger block comes together once: what is in front of each of its blocks, and its sum in the row of the last one
+    last = F.lead(_BLOCK).over(Window.partitionBy(_KEY, _LARGE).orderBy(_BLOCK)).isNull()
+    near = blocks.select("*", *before("__near_", _BLOCK, _LARGE), last.alias("__last"))
+    whole = [(F.coalesce(f"__of_{n}", F.lit(0).cast(t)) + F.coalesce(f"__near_{n}", F.lit(0).cast(t))).cast(t).alias(f"__of_{n}") for n, t in types.items()]
+    to_large = near.where("__last").select(_KEY, _LARGE, *whole).select(_KEY, _LARGE, *before("__far_", _LARGE))
+    to_block = _with_carry(near.select(_KEY, _LARGE, _BLOCK, *[f"__near_{name}" for name in types]), to_large, _LARGE)
     carry = to_block.select(_KEY, _BLOCK, *[e.alias(f"__to_{name}") for name, e in added("__far_", "__near_")])
 
     kept = [c for c in df.columns if c not in sums]
-    kept += [name + step_suffix for name in sums if step_suffix]
+    kept += [name + step_suffix for name in sums if step_suffix] + ([head[0]] if head else [])
     return _with_carry(local, carry, _BLOCK).select(*kept, *[e.alias(name) for name, e in added("__in_", "__to_")])
 
 
@@ -119,10 +133,11 @@ def with_previous(
     local = placed.select("*", F.lag(held).over(steps).alias("__in"))
 
     blocks = placed.groupBy(_KEY, _LARGE, _BLOCK).agg(F.max_by(held, _PLACE).alias("__last"))
-    large = blocks.groupBy(_KEY, _LARGE).agg(F.max_by("__last", _BLOCK).alias("__last"))
-    to_large = large.select(_KEY, _LARGE, F.lag("__last").over(Window.partitionBy(_KEY).orderBy(_LARGE)).alias("__far"))
-    near = F.lag("__last").over(Window.partitionBy(_KEY, _LARGE).orderBy(_BLOCK)).alias("__near")
-    to_block = _with_carry(blocks.select(_KEY, _LARGE, _BLOCK, near), to_large, _LARGE)
+    within = Window.partitionBy(_KEY, _LARGE).orderBy(_BLOCK)
+    near = blocks.select("*", F.lag("__last").over(within).alias("__near"), F.lead(_BLOCK).over(within).isNull().alias("__end"))
+    ends = near.where("__end")
+    to_large = ends.select(_KEY, _LARGE, F.lag("__last").over(Window.partitionBy(_KEY).orderBy(_LARGE)).alias("__far"))
+    to_block = _with_carry(near.select(_KEY, _LARGE, _BLOCK, "__near"), to_large, _LARGE)
     carry = to_block.select(_KEY, _BLOCK, F.coalesce("__near", "__far").alias("__to"))
     return _with_carry(local, carry, _BLOCK).select(*df.columns, F.coalesce("__in", "__to").alias(into))
 

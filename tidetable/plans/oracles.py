@@ -297,6 +297,23 @@ SELECT o_custkey, o_orderpriority, o_totalprice FROM orders
 WHERE o_orderstatus IN ('F', 'O') AND o_totalprice > 200000
 """
 
+VERSIONS = f"""
+WITH arrived AS (
+  SELECT event_type, epoch_us(ts) - epoch_us(ts) % {DAY} AS s, epoch_us(ts) - epoch_us(ts) % {DAY} + {DAY} AS e,
+         epoch_us(ts) + CASE WHEN event_id % 10 = 0 THEN {6 * HOUR} ELSE 0 END AS came
+  FROM events
+), ticks AS (
+  SELECT event_type, s, e, count(*) AS new,
+         CASE WHEN came <= e THEN least(e, (came + {6 * HOUR} - 1) // {6 * HOUR} * {6 * HOUR})
+              ELSE (came + {3 * HOUR} - 1) // {3 * HOUR} * {3 * HOUR} END AS tick
+  FROM arrived WHERE came <= e + {DAY} GROUP BY ALL
+)
+SELECT event_type, make_timestamp(s) AS w_start, make_timestamp(e) AS w_end, make_timestamp(tick) AS fired_at,
+       CASE WHEN tick < e THEN 'early' WHEN tick = e THEN 'on time' ELSE 'late' END AS kind,
+       row_number() OVER versions AS version, CAST(sum(new) OVER versions AS BIGINT) AS n
+FROM ticks WINDOW versions AS (PARTITION BY event_type, s ORDER BY tick)
+"""
+
 PAYLOAD_TOTALS = f"SELECT '(' || event_type || ',' || total || ')' AS value FROM ({CARRIED_TOTAL})"
 
 ORACLES = {
@@ -382,4 +399,10 @@ SELECT user_id, w_start, w_start + INTERVAL 1 DAY AS w_end, count(*) AS n FROM p
 """,
     "stream_dimension_sql": DIMENSION_JOIN,
     "stream_pvuv_retract": PVUV_RETRACT,
+    "stream_keyed_table": SUM_TABLE,
+    "stream_window_avg_panes": AVG_PANES,
+    "stream_pvuv_panes": PVUV_PANES,
+    "stream_window_join_panes": JOIN_PANES,
+    "stream_window_left_join_panes": LEFT_JOIN_PANES,
+    "stream_tumble_versions": VERSIONS,
 }

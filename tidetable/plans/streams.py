@@ -1,8 +1,8 @@
 """Registered queries that run as streams over the given tables.
 
 Each drains the table through a streaming query, closes its windows with a far-future row, and returns what the sink
-holds. The table is first written as slices of time, one file and so one micro-batch each; with some disorder rows come
-a slice late, but never behind the watermark's delay. State and results go to the shared folder.
+holds. The table is first written, in one pass, as slices of equal numbers of rows in the order of their times, one micro-batch each; with some
+disorder rows come a slice late, but never behind the watermark's delay. State and results go to the shared folder.
 """
 
 from __future__ import annotations
@@ -10,8 +10,8 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import NumericType, StructType, TimestampType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, NumericType, StructField, StructType, TimestampType
 
 from tidetable import schemas
 from tidetable.functions import timewin
@@ -19,11 +19,12 @@ from tidetable.operators import changelog, joins, rows, windowed
 from tidetable.plans.tables import cents, of_type, region_orders, table, utc_wall, value_class
 from tidetable.session import shared_folder, streaming_session
 from tidetable.sources import catalog, files, kafka, lines
-from tidetable.streaming import carry, jobs, run, sinks, stateful
+from tidetable.streaming import carry, jobs, panes, run, sinks, state_table, stateful
 
 WINDOW = ["w_start", "w_end"]
 SLICES = 4
-SLICE_BYTES = 128 << 20
+FILE_BYTES = 128 << 20
+SLOT, PIECE = "__slot", "__piece"
 DISORDER = "6 hours"
 
 
@@ -37,28 +38,42 @@ class Replay:
     path: str
     ts: str
     schema: StructType
+    pieces: int
 
     @classmethod
-    def of(cls, caller: SparkSession, sf_dir: str, name: str, ts: str, disorder: str = "0 seconds", by: str | None = None) -> Replay:
+    def of(
+        cls, caller: SparkSession, sf_dir: str, name: str, ts: str, disorder: str = "0 seconds", by: str | Column | None = None
+    ) -> Replay:
         """Slices go by ``by``, or else by ``ts`` with a tenth of the rows ``disorder`` later than their time says."""
         spark, folder = streaming_session(caller), shared_folder(caller)
         given = table(spark, sf_dir, name)
-        replay = cls(spark, caller, folder, f"{folder}/slices", ts, given.schema)
         size = int(given._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-        slices = max(SLICES, size // SLICE_BYTES + 1)
-        time = F.col(by or ts)
-        time = time if isinstance(given.schema[by or ts].dataType, NumericType) else time.cast("timestamp")
+        replay = cls(spark, caller, folder, f"{folder}/slices", ts, given.schema, size // (SLICES * FILE_BYTES) + 1)
+        time = F.col(by or ts) if by is None or isinstance(by, str) else by
+        time = time if isinstance(given.select(time).schema[0].dataType, NumericType) else time.cast("timestamp")
         delayed = F.when(F.pmod(F.xxhash64(*given.columns), F.lit(10)) == 0, timewin.micros_of(disorder) / 1_000_000)
         arrival = given.withColumn("__at", time.cast("double") + F.coalesce(delayed, F.lit(0.0)))
-        first, last = arrival.agg(F.min("__at"), F.max("__at")).first()
-        width = ((last or 0) - (first or 0)) / slices or 1.0
-        slot = F.least(F.floor((F.coalesce("__at", F.lit(first)) - F.lit(first)) / width), F.lit(slices - 1))
-        for number in range(slices):  # one after the other: a stream reads files in the order they were written
-            held = arrival.where(F.coalesce(slot, F.lit(0)) == number).drop("__at")
-            held.coalesce(1).write.mode("append").parquet(replay.path)
+        cuts = [n / SLICES for n in range(1, SLICES)]
+        cuts = arrival.agg(F.percentile_approx("__at", cuts)).first()[0] or []
+        slot = sum((F.coalesce((F.col("__at") > cut).cast("int"), F.lit(0)) for cut in cuts), F.lit(0))
+        piece = F.pmod(F.xxhash64(*given.columns), F.lit(replay.pieces)).cast("int")
+        dealt = arrival.withColumn(SLOT, slot).withColumn(PIECE, piece).drop("__at")
+        dealt.repartition(SLICES * replay.pieces, SLOT, PIECE).write.partitionBy(SLOT, PIECE).parquet(replay.path)
+        replay._in_order()
         spark.createDataFrame([], replay.schema).write.parquet(replay.flush_path)
         return replay
 
+    def _in_order(self) -> None:
+        """Give the files of later slices later times: a stream reads files by age."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        system = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = system.listFiles(root, True)
+        while found.hasNext():
+            file = found.next().getPath()
+            slot = file.toString().partition(f"{SLOT}=")[2].partition("/")[0]
+            if slot:
+                system.setTimes(file, 1_600_000_000_000 + int(slot) * 10_000, -1)
+
     @property
     def flush_path(self) -> str:
         return f"{self.folder}/flush"
@@ -71,15 +86,20 @@ class Replay:
     def out(self) -> str:
         return f"{self.folder}/out"
 
+    def rows(self) -> DataFrame:
+        """The table's rows as they are."""
+        schema = StructType([*self.schema.fields, StructField(SLOT, IntegerType()), StructField(PIECE, IntegerType())])
+        data = files.stream_table(self.spark, self.path, schema, files_per_batch=self.pieces)
+        return data.drop(SLOT, PIECE)
+
     def stream(self) -> DataFrame:
         """The table's rows, then the flush row, with the time column as an instant."""
-        data = files.stream_table(self.spark, self.path, self.schema, files_per_batch=1)
         flush = files.stream_table(self.spark, self.flush_path, self.schema)
-        return data.unionByName(flush).withColumn(self.ts, F.col(self.ts).cast("timestamp"))
+        return self.rows().unionByName(flush).withColumn(self.ts, F.col(self.ts).cast("timestamp"))
 
     def flush(self, **values: list) -> None:
         """Write rows 1000 days after the table's last one: one per combination of the given column values."""
-        last = self.spark.read.parquet(self.path).agg((F.max(self.ts) + timewin.interval("1000 days")).alias(self.ts))
+        last = self.spark.read.schema(self.schema).parquet(self.path).agg((F.max(self.ts) + timewin.interval("1000 days")).alias(self.ts))
         for name, options in values.items():
             last = last.withColumn(name, F.explode(F.array(*[F.lit(o) for o in options])))
         missing = [f for f in self.schema if f.name not in last.columns]
@@ -91,7 +111,7 @@ class Replay:
         run.drain_and_flush(
             result, sink or sinks.file_sink(self.out), self.checkpoint, lambda: self.flush(**values)
         )
-        return self.read(result.columns)
+        return self.read(None if sink else result.columns)
 
     def read(self, columns: list[str] | None = None) -> DataFrame:
         """What the sink holds."""
@@ -186,14 +206,11 @@ def stream_pvuv_tumble(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_pvuv_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page views and unique visitors per hour label as results that keep updating; newest value per hour."""
     replay = Replay.of(spark, sf_dir, "events", "ts")
-    labelled = replay.stream().select("event_id", "user_id", timewin.hour_label("ts").alias("dt"))
-    visitors = jobs.early_visitors(labelled, ["dt"], "user_id", salts=8, salt_by="event_id")
-    parts = {"pv": jobs.early_views(labelled, ["dt"]), "uv": visitors}
-    for name, part in parts.items():
-        run.drain(part, sinks.batch_folders(f"{replay.folder}/{name}"), f"{replay.checkpoint}-{name}", "update")
-    views, visitors = [sinks.read_upserts(replay.caller, f"{replay.folder}/{name}", ["dt"]) for name in parts]
-    # hours without a known visitor have views only
-    return views.join(visitors, "dt", "left").withColumn("uv", F.coalesce("uv", F.lit(0).cast("long")))
+    labelled = replay.stream().select("ts", "user_id", timewin.hour_label("ts").alias("dt"))
+    retention = carry.Retention("ts", "1 hour", "1 day")
+    sink = carry.visitors_sink(replay.out, f"{replay.folder}/state", ["dt"], "user_id", retention)
+    run.drain(labelled, sink, replay.checkpoint)
+    return sinks.read_upserts(replay.caller, replay.out, ["dt"])
 
 
 def stream_window_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,7 +224,8 @@ def stream_avg_emit_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay, stream = _events(spark, sf_dir)
     steps = stream.select("ts", "user_id", value_class())
     averages = windowed.window_aggregate(steps, "ts", ["user_id"], {"avg_step": ("avg", "step")}, "1 day")
-    return replay.closed(jobs.emit_on_change(averages, "user_id", "avg_step", "bigint"))
+    replay.closed(averages, carry.emit_on_change_sink(replay.out, f"{replay.folder}/last", ["user_id"], "avg_step"))
+    return replay.read(averages.columns)
 
 
 def stream_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,7 +242,8 @@ def stream_carried_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed hours per type with the total carried over in state."""
     replay, stream = _events(spark, sf_dir)
     sums = windowed.window_aggregate(stream, "ts", ["event_type"], {"total": ("sum", "cents")}, "1 hour")
-    return replay.closed(jobs.carried_total(sums, "event_type", "total"))
+    replay.closed(sums, carry.carried_total_sink(replay.out, f"{replay.folder}/totals", ["event_type"], "total"))
+    return replay.read(sums.columns)
 
 
 def stream_payload_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,8 +255,10 @@ def stream_payload_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = lines.parse_csv_payload(messages, schemas.WORD_EVENT)
     stamped = timewin.with_event_time(parsed, "timestamp", "ms", delay="1 second")
     sums = windowed.window_aggregate(stamped, "ts", ["word"], {"total": ("sum", "frequency")}, "1 hour")
-    encoded = kafka.pair_messages(jobs.carried_total(sums, "word", "total"), "word", "total")
-    return replay.closed(encoded, event_type=["flush"], value=[0.0])
+    encoded = lambda totals: kafka.pair_messages(totals, "word", "total")
+    sink = carry.carried_total_sink(replay.out, f"{replay.folder}/totals", ["word"], "total", shown=encoded)
+    replay.closed(sums, sink, event_type=["flush"], value=[0.0])
+    return replay.read(["value"])
 
 
 def stream_text_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,7 +299,7 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of arriving documents per five-minute window."""
     arrival = F.timestamp_seconds("doc_id")
     replay = Replay.of(spark, sf_dir, "documents", "doc_id")
-    arrived = files.stream_table(replay.spark, replay.path, replay.schema, files_per_batch=1).select(arrival.alias("arrival"), "text")
+    arrived = replay.rows().select(arrival.alias("arrival"), "text")
     counted = windowed.word_count(arrived.withWatermark("arrival", "0 seconds"), "text", "arrival", "5 minutes")
     run.drain(counted, sinks.batch_folders(replay.out), replay.checkpoint, "update")
     newest = sinks.read_upserts(replay.caller, replay.out, ["word", *WINDOW])
@@ -377,12 +398,84 @@ def stream_dimension_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_pvuv_retract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every update of hourly page views and unique visitors as retraction and addition, from one query."""
     replay = Replay.of(spark, sf_dir, "events", "ts", by="event_id")
-    labelled = replay.stream().select("event_id", "user_id", timewin.hour_label("ts").alias("dt"))
-    sink = carry.visitors_changelog_sink(replay.out, f"{replay.folder}/state", ["dt"], "event_id", "user_id")
+    labelled = replay.stream().select("ts", "event_id", "user_id", timewin.hour_label("ts").alias("dt"))
+    retention = carry.Retention("ts", "1 hour", "1 day")
+    sink = carry.visitors_changelog_sink(replay.out, f"{replay.folder}/state", ["dt"], "event_id", "user_id", retention=retention)
     run.drain(labelled, sink, replay.checkpoint)
     return replay.read()
 
 
+def stream_keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table that a stream of changes describes, kept by key: read without reading the changes."""
+    replay = Replay.of(spark, sf_dir, "events", "ts", by="event_id")
+    stream = replay.stream().withColumn("cents", cents("value")).select("event_id", "event_type", "cents")
+    log = f"{replay.folder}/log"
+    measures = {"total": ("sum", "cents")}
+    run.drain(stream, carry.changelog_sink(log, f"{replay.folder}/state", ["event_type"], "event_id", measures), replay.checkpoint)
+    schema = spark.read.parquet(f"{log}/{sinks.BATCH}=0").schema
+    changes = files.stream_table(replay.spark, f"{log}/{sinks.BATCH}=*", schema)
+    sink = state_table.keyed_table_sink(replay.out, ["event_type"], "event_id")
+    run.drain(changes, sink, f"{replay.checkpoint}-table")
+    return state_table.read_keyed_table(spark, replay.out, ["event_type"], "event_id")
+
+
+def stream_window_avg_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The average of its user and day after every event, continued across micro-batches."""
+    replay = Replay.of(spark, sf_dir, "events", "ts", by="event_id")
+    stream = replay.stream().withColumn("cents", cents("value")).select("event_id", "user_id", "ts", "cents")
+    sink = panes.average_panes_sink(replay.out, f"{replay.folder}/state", "ts", ["user_id"], "cents", "event_id", "1 day", into="avg_cents")
+    run.drain(stream, sink, replay.checkpoint)
+    return replay.read(["event_id", "user_id", *WINDOW, "avg_cents"])
+
+
+def stream_pvuv_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page views and unique visitors of its type and day after every event, continued across micro-batches."""
+    replay = Replay.of(spark, sf_dir, "events", "ts", by="event_id")
+    stream = replay.stream().select("event_id", "event_type", "user_id", "ts")
+    sink = panes.pv_uv_panes_sink(replay.out, f"{replay.folder}/state", "ts", ["event_type"], "user_id", "event_id", "1 day")
+    run.drain(stream, sink, replay.checkpoint)
+    return replay.read(["event_id", "event_type", *WINDOW, "pv", "uv"])
+
+
+def _join_panes(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
+    replay = Replay.of(spark, sf_dir, "events", "ts", by="event_id")
+    stream = replay.stream().withColumn("cents", cents("value"))
+    clicked = of_type(stream, "click").select("user_id", "event_id", F.col("ts").alias("click_ts"))
+    bought = of_type(stream, "purchase").select("user_id", "event_id", F.col("ts").alias("purchase_ts"), "cents")
+    both = panes.tagged(clicked, bought, "user_id", "click_ts", "purchase_ts", "event_id")
+    sink = panes.join_panes_sink(
+        replay.out, f"{replay.folder}/state", "user_id", ["event_id", "click_ts"], ["right_event_id", "purchase_ts", "cents"],
+        "event_id", "1 day", how, ["cents"],
+    )
+    run.drain(both, sink, replay.checkpoint)
+    return panes.emitted_panes(replay.read())
+
+
+def stream_window_join_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks and purchases of one user and day, all pairs emitted again at every arrival, over micro-batches."""
+    return _join_panes(spark, sf_dir, "inner")
+
+
+def stream_window_left_join_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The left form, in which clicks show alone until a purchase arrives."""
+    return _join_panes(spark, sf_dir, "left")
+
+
+def stream_tumble_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per type and day as versions: every six hours and at the end of the day, then every three hours for late events.
+
+    Every tenth event arrives six hours late.
+    """
+    arrival = F.col("ts") + F.when(F.col("event_id") % 10 == 0, timewin.interval("6 hours")).otherwise(timewin.interval("0 hours"))
+    replay = Replay.of(spark, sf_dir, "events", "ts", by=arrival)
+    stream = replay.stream().withColumn("arrival", F.coalesce(arrival, F.col("ts")))
+    sink = panes.firing_sink(
+        replay.out, f"{replay.folder}/state", "ts", "arrival", ["event_type"], "1 day", "6 hours", "3 hours", "1 day"
+    )
+    fired = replay.closed(stream, sink)
+    return fired.where(F.col("event_type").isNotNull())
+
+
 def stream_union_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two order streams united, projected and filtered, insert-only."""
     replay = Replay.of(spark, sf_dir, "orders", "o_orderdate")
@@ -423,5 +516,11 @@ QUERIES = {
         stream_hop_sql,
         stream_dimension_sql,
         stream_pvuv_retract,
+        stream_keyed_table,
+        stream_window_avg_panes,
+        stream_pvuv_panes,
+        stream_window_join_panes,
+        stream_window_left_join_panes,
+        stream_tumble_versions,
     )
 }
