@@ -405,4 +405,5 @@ SELECT user_id, w_start, w_start + INTERVAL 1 DAY AS w_end, count(*) AS n FROM p
     "stream_window_join_panes": JOIN_PANES,
     "stream_window_left_join_panes": LEFT_JOIN_PANES,
     "stream_tumble_versions": VERSIONS,
+    "stream_user_source": TUMBLE_COUNT,
 }

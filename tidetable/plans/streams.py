@@ -18,7 +18,7 @@ from tidetable.functions import timewin
 from tidetable.operators import changelog, joins, rows, windowed
 from tidetable.plans.tables import cents, of_type, region_orders, table, utc_wall, value_class
 from tidetable.session import shared_folder, streaming_session
-from tidetable.sources import catalog, files, kafka, lines
+from tidetable.sources import catalog, files, kafka, lines, user
 from tidetable.streaming import carry, jobs, panes, run, sinks, state_table, stateful
 
 WINDOW = ["w_start", "w_end"]
@@ -486,6 +486,34 @@ def stream_union_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.read(kept.columns)
 
 
+def stream_user_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts per type from a user's own source into a user's own sink.
+
+    The source's first places hold the events, a tenth of them later than their time says; a place that appears after a restart ends
+    the hours.
+    """
+    session, folder = streaming_session(spark), shared_folder(spark)
+    given = table(session, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "event_id")
+    came = F.col("ts") + F.when(F.col("event_id") % 10 == 0, timewin.interval(DISORDER)).otherwise(timewin.interval("0 hours"))
+    given.repartitionByRange(SLICES, came).select("ts", "event_type").write.parquet(f"{folder}/script")
+    name = f"script_{uuid.uuid4().hex[:8]}"
+    user.register_source(session, name, given.select("ts", "event_type").schema, user.FolderScript(f"{folder}/script"))
+    stream = session.readStream.format(name).load().withWatermark("ts", DISORDER)
+    counted = windowed.window_aggregate(stream, "ts", ["event_type"], {"n": ("count", "event_type")}, "1 hour")
+
+    def appear(number: int) -> None:
+        last = given.agg((F.max("ts") + timewin.interval("1000 days")).alias("ts")).withColumn("event_type", F.lit("end"))
+        last.write.parquet(f"{folder}/end-{number}")
+        user.publish(f"{folder}/end-{number}", f"{folder}/script", f"zzz-{number}")  # names behind all others
+
+    sink = user.committed_files_sink(session, f"{folder}/out")
+    run.drain_and_flush(counted, sink, f"{folder}/checkpoint", lambda: appear(0))
+    appear(1)  # Spark drains such a source in one batch; what the place before has closed comes out with this one
+    run.drain(counted, sink, f"{folder}/checkpoint")
+    held = user.read_committed(spark, f"{folder}/out", counted.schema)
+    return held.withColumns({name: utc_wall(name) for name in WINDOW})
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -522,5 +550,6 @@ QUERIES = {
         stream_window_join_panes,
         stream_window_left_join_panes,
         stream_tumble_versions,
+        stream_user_source,
     )
 }
