@@ -397,11 +397,17 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def digests(cleaned: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of what `without_repeats` left."""
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of what `without_repeats` left, then the rest itself.
+
+    ``n_bytes`` is the length of the input. ``n_kept`` is that of what is left, and ``text`` is it as a text, in which bytes of a
+    character that was cut apart show as the replacement character.
+    """
     return cleaned.select(
         "doc_id",
         "n_bytes",
         (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.octet_length("kept").cast("long").alias("n_kept"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
