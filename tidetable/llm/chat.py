@@ -7,6 +7,10 @@ so a new layout is a new entry and no new code. Records whose fingerprint no map
 `formatted` writes turns with control strings around them and escapes every character that can begin one inside
 roles and texts; `read_back` undoes both. The loss mask is kept as segments of the text, each in or out of it; the
 segments joined are the text. Null texts and roles are empty. Everything is column expressions.
+
+The JSON functions hold texts of at most 20,000,000 characters and records of at most 128 MB. `records_of` therefore hands on
+conversations beyond `LONG_TEXT` or `LONG_RECORD` as typed rows together with the paths of their layout, and they are mapped by the same
+fingerprint. A JSON record from elsewhere beyond these limits has no fingerprint and no turns.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 TURN, END = "<|turn|>", "<|end|>"
 TURNS = "array<struct<role:string,text:string>>"
+LONG_TEXT, LONG_RECORD = 10_000_000, 50_000_000
 
 
 @dataclass(frozen=True)
@@ -95,14 +100,37 @@ def _rule(record: Column, rule: One | Many) -> Column:
     return F.transform(listed, one)
 
 
-def canonical(records: DataFrame, record: str = "record") -> DataFrame:
-    """``records`` with ``fingerprint`` and ``turns``, null where no mapping has the fingerprint."""
+def _of_rows(rows: Column, rules: Sequence[One | Many]) -> Column:
+    """Typed turns under the names that the rules give roles."""
+    renamed = {given: meant for rule in rules if isinstance(rule, Many) for given, meant in rule.roles}
+
+    def one(row: Column) -> Column:
+        role = row["role"]
+        for given, meant in renamed.items():
+            role = F.when(row["role"] == given, meant).otherwise(role)
+        return _turn(role, row["text"])
+
+    return F.transform(rows, one)
+
+
+def canonical(records: DataFrame, record: str = "record", paths: str | None = None, rows: str | None = None) -> DataFrame:
+    """``records`` with ``fingerprint`` and ``turns``, null where no mapping has the fingerprint.
+
+    Where ``rows`` (turns as structs of role and text) is not null it stands in for the JSON record, ``paths`` naming its
+    layout's field paths.
+    """
     marked = records.withColumn("__paths", field_paths(record)).withColumn("__record", F.try_parse_json(record))
+    typed = F.lit(None).cast(TURNS) if rows is None else F.col(rows)
+    if paths is not None:
+        marked = marked.withColumn("__paths", F.when(typed.isNotNull(), F.array_sort(paths)).otherwise(F.col("__paths")))
     marked = marked.withColumn("fingerprint", fingerprint(F.col("__paths")))
     turns = F.lit(None).cast(TURNS)
-    for paths, rules in LAYOUTS.items():
-        known = fingerprint(F.array(*map(F.lit, sorted(paths))))
-        turns = F.when(F.col("fingerprint") == known, F.concat(*[_rule(F.col("__record"), r) for r in rules])).otherwise(turns)
+    for names, rules in LAYOUTS.items():
+        known = fingerprint(F.array(*map(F.lit, sorted(names))))
+        mapped = F.concat(*[_rule(F.col("__record"), r) for r in rules])
+        if rows is not None:
+            mapped = F.when(typed.isNotNull(), _of_rows(typed, rules)).otherwise(mapped)
+        turns = F.when(F.col("fingerprint") == known, mapped).otherwise(turns)
     return marked.withColumn("turns", turns).drop("__paths", "__record")
 
 
@@ -155,9 +183,10 @@ def loss_text(segments: str = "segments") -> Column:
 
 
 def records_of(conversations: DataFrame) -> DataFrame:
-    """Rows of turns as one JSON record per conversation: ``conv_id, record``.
+    """Rows of turns as one record per conversation: ``conv_id, record, paths, rows``.
 
-    Turns are ordered by number, those without one first, equal ones by role and text. Two and three turns of the usual
+    A record is a JSON text; that of a conversation too long for JSON is null, and its turns are in ``rows``, its layout's
+    paths in ``paths``. Turns are ordered by number, those without one first, equal ones by role and text. Two and three turns of the usual
     roles become prompt and instruction records, all others message lists.
     """
     empty = F.lit("")
@@ -179,7 +208,20 @@ def records_of(conversations: DataFrame) -> DataFrame:
         )
         .otherwise(F.to_json(F.struct(messages.alias("messages"))))
     )
-    return held.select("conv_id", record.alias("record"))
+    longest = F.array_max(F.transform(turns, lambda t: F.length(t["content"]) + F.length(t["role"])))
+    whole = F.aggregate(turns, F.lit(0).cast("long"), lambda n, t: n + F.octet_length(t["content"]) + F.octet_length(t["role"]))
+    too_long = (longest > LONG_TEXT) | (whole > LONG_RECORD)
+    named = lambda *names: F.array(*map(F.lit, names))
+    paths = F.when(roles == "user,assistant", named("prompt", "completion"))
+    paths = paths.when(roles == "system,user,assistant", named("system", "instruction", "output"))
+    paths = paths.otherwise(named("messages", "messages[].content", "messages[].role"))
+    typed = F.transform(turns, lambda t: F.struct(t["role"].alias("role"), t["content"].alias("text")))
+    return held.select(
+        "conv_id",
+        F.when(~too_long, record).alias("record"),
+        F.when(too_long, paths).alias("paths"),
+        F.when(too_long, typed).alias("rows"),
+    )
 
 
 def digests(written: DataFrame) -> DataFrame:
