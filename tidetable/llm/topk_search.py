@@ -7,7 +7,8 @@ lists of a query are merged ``FAN_IN`` at a time until one is left.
 
 Vectors that are null or hold null or non-finite components take no part; vectors of another length than a query's
 are no candidates for it. A query leaves out its own row only: a repeated row is a candidate. Ties go to the smaller
-id. Products are exact: floats where all sums stay below 2^53, integers of 64 bits otherwise (beyond them they wrap).
+id. Products are exact: floats where all sums stay below 2^53, integers of 64 bits otherwise. Where a component or a
+product may not fit 64 bits an error is raised.
 """
 
 from __future__ import annotations
@@ -85,8 +86,10 @@ def _tiles(k: int):
                 most = float(np.abs(queries.astype(float)).max(initial=0)) * float(np.abs(vectors.astype(float)).max(initial=0))
                 if most * max(width, 1) < 2**53:
                     scores = (queries.astype(float) @ vectors.astype(float).T).astype(np.int64)
-                else:
+                elif most * max(width, 1) < 2**62:
                     scores = queries @ vectors.T
+                else:
+                    raise OverflowError("inner products may not fit 64 bits")
                 for query, own in enumerate(marks[None, :] == q_marks[:, None]):
                     score = scores[query]
                     few = k + int(own.sum())
@@ -108,9 +111,8 @@ def _tiles(k: int):
 
 def _usable(embedding: str) -> Column:
     values = F.col(embedding)
-    limit = float(1 << 52)
-    fits = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < limit))
-    return values.isNotNull() & fits
+    finite = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return values.isNotNull() & finite
 
 
 def nearest(
@@ -127,7 +129,9 @@ def nearest(
     """
     spark = vectors.sparkSession
     ship(spark)
-    whole = F.transform(F.col("__x"), lambda x: F.floor(x.cast("double") * SCALE).cast("long"))
+    too_large = F.raise_error(F.lit("a component does not fit 64 bits")).cast("long")
+    scaled = lambda x: x.cast("double") * SCALE
+    whole = F.transform(F.col("__x"), lambda x: F.when(F.abs(scaled(x)) < float(1 << 62), F.floor(scaled(x))).otherwise(too_large))
     given = (
         vectors.where(F.col(vec_id).isNotNull())
         .withColumn("__query", F.coalesce(queries, F.lit(False)))
