@@ -7,7 +7,8 @@ with a marginal above one half are the main text. Both kinds of potentials are l
 `page_examples`, or others given to `train`.
 
 Tags are read tolerantly: optional end tags may be missing, unknown end tags are ignored, an element that is still
-open ends with the page. Scripts, styles, comments and the head have no text. White space inside a block becomes one
+open ends with the page. Scripts and what stands in for them, styles, comments and the head have no text; formulas are part of their block, and
+what an object or a canvas holds is judged like other text. White space inside a block becomes one
 space; blocks are joined in page order by line ends. Null and empty pages, and pages without text, give empty texts;
 text outside any tag is a page's text as any other. Repeated rows give repeated results.
 """
@@ -30,10 +31,11 @@ from tidetable.llm import page_examples
 from tidetable.llm.shared import ship, text_of
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template iframe svg math object canvas title head".split())
+SILENT = frozenset("script style noscript template iframe svg title head".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var wbr".split()
+    "strong sub sup time tt u var wbr "
+    "math mfrac mi mn mo mover mrow ms mspace msqrt mstyle msub msubsup msup mtext munder semantics".split()
 )
 #: An opening tag of the first kind ends an open element of the second.
 ENDS = {
