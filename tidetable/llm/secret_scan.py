@@ -6,8 +6,8 @@ a text is cut into blocks of ``SCOPE`` code points, and two parts share a scope
 neighbouring blocks. A weak part is reported only with what completes it: an account with a secret, a mixed token
 with an account, an address with both. Parts found by themselves complete weak ones, too.
 
-Everything is column expressions over whole texts; no row leaves its task. Positions are code points, the end
-exclusive. A null text is empty and has no spans; repeated rows give repeated results; other columns are ignored.
+Everything is column expressions over whole texts; no row leaves its task, and the time is linear in the text. Positions are
+code points, the end exclusive. A null text is empty and has no spans; repeated rows give repeated results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidetable.llm.shared import text_of
 
 SCOPE = 256
+PART = 512
+STRETCH = 8192  # code points of a text that are redacted at once
 REDACTED = "[REDACTED]"
 
 # fixed values: the three kinds found alone, in the order of their rank
@@ -25,63 +27,136 @@ _ACCESS = r"AKIA[A-Z0-9]{12,}"
 _HEX = r"[0-9a-f]{32,}"
 # weak parts
 _ACCOUNT = r"""(?i:access_?key_?id|client_?id|account|user_?name|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,}"""
-_MIXED = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,64}[0-9])(?=[0-9+/_=-]{0,64}[A-Za-z])[A-Za-z0-9+/_=-]{20,}"
+_MIXED = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 _ADDRESS = r"""(?i:https?|ftp|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s"'<>]+"""
 
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
-def _spans(text: Column, pattern: str, kind: str, rank: int, long_enough: tuple[int, int] | None = None) -> Column:
-    """Leftmost non-overlapping matches as spans; ``long_enough`` names a group and its least length.
+_STEPS = "array<struct<gap:int,size:int,wanted:boolean>>"
 
-    The stretches between matches and the matches themselves alternate, so adding up their lengths places them.
+
+def _parts(items: str) -> Column:
+    """An array cut into arrays of ``PART`` items, so that what grows inside one stays small."""
+    last = F.shiftright(F.greatest(F.size(items) - 1, F.lit(0)), PART.bit_length() - 1)
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(F.col(items), i * PART + 1, F.lit(PART)))
+
+
+def _steps(text: Column, pattern: str, long_enough: tuple[int, int] | None = None, holding: tuple[str, ...] = ()) -> Column:
+    """Leftmost non-overlapping matches: the lengths of the stretch before each and of the match, and whether it counts.
+
+    ``long_enough`` names a group and its least length, ``holding`` what has to be found in a match. The stretch behind
+    the last match is a step without one.
     """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     stated = F.regexp_extract_all(text, F.lit(pattern), F.lit(long_enough[0])) if long_enough else matches
-    steps = F.arrays_zip(F.split(text, pattern).alias("gap"), matches.alias("hit"), stated.alias("part"))
 
-    def add(done: Column, step: Column) -> Column:
-        start = done["at"] + F.length(step["gap"])
-        end = start + F.coalesce(F.length(step["hit"]), F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"))
+    def measured(step: Column) -> Column:
         wanted = step["hit"].isNotNull()
         if long_enough:
             wanted &= F.length(step["part"]) >= long_enough[1]
-        held = F.when(wanted, F.concat(done["held"], F.array(span))).otherwise(done["held"])
+        for held in holding:
+            wanted &= step["hit"].rlike(held)
+        size = F.coalesce(F.length(step["hit"]), F.lit(0))
+        return F.struct(F.length(step["gap"]).alias("gap"), size.alias("size"), F.coalesce(wanted, F.lit(False)).alias("wanted"))
+
+    steps = F.arrays_zip(F.split(text, pattern).alias("gap"), matches.alias("hit"), stated.alias("part"))
+    return F.when(text.rlike(pattern), F.transform(steps, measured)).otherwise(F.array().cast(_STEPS))
+
+
+def _begins(parts: str) -> Column:
+    """Where each part of the steps begins: the lengths of the parts in front of it."""
+
+    def begin(done: Column, part: Column) -> Column:
+        length = F.aggregate(part, F.lit(0), lambda n, step: n + step["gap"] + step["size"])
+        return F.struct((done["at"] + length).alias("at"), F.concat(done["held"], F.array(done["at"])).alias("held"))
+
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("held"))
+    return F.aggregate(parts, zero, begin, lambda done: done["held"])
+
+
+def _spans(parts: str, begins: str, kind: str, rank: int) -> Column:
+    """The steps that count as spans, placed by adding up lengths within their part."""
+
+    def add(done: Column, step: Column) -> Column:
+        start = done["at"] + step["gap"]
+        end = start + step["size"]
+        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"))
+        held = F.when(step["wanted"], F.concat(done["held"], F.array(span))).otherwise(done["held"])
         return F.struct(end.alias("at"), held.alias("held"))
 
     none = F.array().cast(_SPAN)
-    walked = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("held")), add, lambda done: done["held"])
-    return F.when(text.rlike(pattern), walked).otherwise(none)
+
+    def within(part: Column) -> Column:
+        return F.aggregate(part["steps"], F.struct(part["at"].alias("at"), none.alias("held")), add, lambda done: done["held"])
+
+    return F.flatten(F.transform(F.arrays_zip(F.col(parts).alias("steps"), F.col(begins).alias("at")), within))
+
+
+def _block(span: Column) -> Column:
+    return F.floor(span["start"] / SCOPE)
 
 
 def _blocks(*spans: str) -> Column:
     """Blocks of a text in which any of these parts begin."""
-    return F.array_distinct(F.transform(F.concat(*spans), lambda s: F.floor(s["start"] / SCOPE)))
+    return F.array_distinct(F.transform(F.concat(*spans), _block))
 
 
-def _near(span: Column, blocks: str) -> Column:
-    block = F.floor(span["start"] / SCOPE)
-    return (
-        F.array_contains(blocks, block)
-        | F.array_contains(blocks, block - 1)
-        | F.array_contains(blocks, block + 1)
-    )
+def _near(spans: str, *blocks: str) -> Column:
+    """The spans that have one of each of these blocks as their own or a neighbour.
+
+    A part of the spans looks only at the blocks between its first and its last one.
+    """
+
+    def bound(value: Column, use) -> Column:
+        """``use(value)`` with the value computed once."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def matched(part: Column, around: Column) -> Column:
+        def hit(span: Column) -> Column:
+            block = _block(span)
+            return F.array_contains(around, block) | F.array_contains(around, block - 1) | F.array_contains(around, block + 1)
+
+        return F.filter(part, hit)
+
+    def beside(name: str):
+        """A part's spans beside the blocks that lie between its own first and last one."""
+
+        def few(part: Column) -> Column:
+            ends = F.struct((_block(F.get(part, F.lit(0))) - 1).alias("low"), (_block(F.element_at(part, -1)) + 1).alias("high"))
+            around = bound(ends, lambda e: F.filter(name, lambda b: (b >= e["low"]) & (b <= e["high"])))
+            return F.when(F.size(part) > 0, bound(around, lambda held: matched(part, held))).otherwise(part)
+
+        return few
+
+    def within(part: Column) -> Column:
+        for name in blocks:
+            part = bound(part, beside(name))
+        return part
+
+    return F.when(F.size(spans) > 0, F.flatten(F.transform(_parts(spans), within))).otherwise(F.array().cast(_SPAN))
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``__base`` and ``__linked``: the spans found alone, and the weak ones that others complete."""
     given = docs.withColumn("__text", text_of(text))
     body = F.col("__text")
-    found = given.select(
+    steps = {
+        "assign": _steps(body, _ASSIGN, long_enough=(2, 8)),
+        "access": _steps(body, _ACCESS),
+        "hex": _steps(body, _HEX),
+        "account": _steps(body, _ACCOUNT),
+        "mixed": _steps(body, _MIXED, holding=("[0-9]", "[A-Za-z]")),
+        "address": _steps(body, _ADDRESS),
+    }
+    # step by step in selections of their own, so that nothing is computed twice
+    measured = given.select("*", *[made.alias(f"__steps_{kind}") for kind, made in steps.items()])
+    cut = measured.select(*docs.columns, "__text", *[_parts(f"__steps_{kind}").alias(f"__parts_{kind}") for kind in steps])
+    begun = cut.select("*", *[_begins(f"__parts_{kind}").alias(f"__begins_{kind}") for kind in steps])
+    found = begun.select(
         *docs.columns,
         "__text",
-        _spans(body, _ASSIGN, "assign", 0, (2, 8)).alias("__assign"),
-        _spans(body, _ACCESS, "access", 1).alias("__access"),
-        _spans(body, _HEX, "hex", 2).alias("__hex"),
-        _spans(body, _ACCOUNT, "account", 3).alias("__account"),
-        _spans(body, _MIXED, "mixed", 4).alias("__mixed"),
-        _spans(body, _ADDRESS, "address", 5).alias("__address"),
+        *[_spans(f"__parts_{kind}", f"__begins_{kind}", kind, rank).alias(f"__{kind}") for rank, kind in enumerate(steps)],
     )
     placed = found.select(
         "*",
@@ -89,9 +164,9 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         _blocks("__assign", "__hex", "__mixed").alias("__secrets_in"),
     )
     linked = F.concat(
-        F.filter("__account", lambda s: _near(s, "__secrets_in")),
-        F.filter("__mixed", lambda s: _near(s, "__ids_in")),
-        F.filter("__address", lambda s: _near(s, "__ids_in") & _near(s, "__secrets_in")),
+        _near("__account", "__secrets_in"),
+        _near("__mixed", "__ids_in"),
+        _near("__address", "__ids_in", "__secrets_in"),
     )
     return placed.select(
         *docs.columns,
@@ -124,17 +199,25 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by a mark; spans that overlap get one. Texts without spans stay, null too."""
     found = scan(docs, text).withColumn("__all", F.array_sort(F.concat("__base", "__linked")))
-    body = F.col("__text")
+    found = found.withColumn("__cut", F.when(F.size("__all") > 0, F.regexp_extract_all("__text", F.lit(f"(?s).{{1,{STRETCH}}}"), F.lit(0))))
+
+    def clean(stretch: Column, number: Column) -> Column:
+        low = number * STRETCH
+        high = low + F.length(stretch)
+
+        def add(done: Column, span: Column) -> Column:
+            before = F.substring(stretch, done["at"] - low + 1, span["start"] - done["at"])
+            fresh = (span["start"] >= low) & (span["start"] >= done["at"])
+            out = F.when(fresh, F.concat(done["out"], before, F.lit(REDACTED))).otherwise(done["out"])
+            return F.struct(F.greatest(done["at"], span["end"]).alias("at"), out.alias("out"))
+
+        def rest(done: Column) -> Column:
+            at = F.least(done["at"], high)
+            return F.concat(done["out"], F.substring(stretch, at - low + 1, high - at))
+
+        own = F.filter("__all", lambda s: (s["start"] < high) & (s["end"] > low))
+        return F.aggregate(own, F.struct(low.alias("at"), F.lit("").alias("out")), add, rest)
 
-    def add(done: Column, span: Column) -> Column:
-        before = F.substring(body, done["at"] + 1, span["start"] - done["at"])
-        longer = F.concat(done["out"], before, F.lit(REDACTED))
-        return F.struct(
-            F.greatest(done["at"], span["end"]).alias("at"),
-            F.when(span["start"] >= done["at"], longer).otherwise(done["out"]).alias("out"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda done: F.concat(done["out"], F.substring(body, done["at"] + 1, F.length(body)))
-    clean = F.when(F.size("__all") > 0, F.aggregate("__all", start, add, rest)).otherwise(F.col(text))
-    return found.select(*[clean.alias(c) if c == text else F.col(c) for c in docs.columns])
+    changed = F.array_join(F.transform("__cut", clean), "")
+    result = F.when(F.size("__all") > 0, changed).otherwise(F.col(text))
+    return found.select(*[result.alias(c) if c == text else F.col(c) for c in docs.columns])
