@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidetable.functions import timewin
 from tidetable.operators import ordered
 from tidetable.operators.ordered import BLOCK_WIDTH
+from tidetable.session import written_once
 
 
 def _windowed(df: DataFrame, ts: str, size: str) -> DataFrame:
@@ -86,7 +87,8 @@ def window_join_panes(
 
     arrivals = placed(left, left_ts, True).unionByName(placed(right, right_ts, False), allowMissingColumns=True)
     step = {"__pane": F.lit(1).cast("long")}
-    numbered = ordered.running_sums(arrivals, groups, seq, step, width=width)
+    # the spans, the left and the right rows all come from the numbered arrivals
+    numbered = written_once(ordered.running_sums(arrivals, groups, seq, step, width=width))
     # the last pane and the first right one of every group, null keys too
     spans = numbered.groupBy(*groups).agg(
         F.max("__pane").alias("__panes"), F.min(F.when(~F.col("__left"), F.col("__pane"))).alias("__match")

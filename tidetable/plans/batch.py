@@ -331,6 +331,13 @@ def panes_emit_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed.select("event_id", "user_id", *WINDOW, "avg_step")
 
 
+def local_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the wall-clock time eight hours ahead of theirs, and its hour label."""
+    local = timewin.at_zone(utc_instant("ts"), "Asia/Shanghai")
+    timed = table(spark, sf_dir, "events").select("event_id", utc_wall(local).alias("local_ts"))
+    return timed.withColumn("local_hour", timewin.hour_label("local_ts"))
+
+
 def running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event with the total of its type so far."""
     source = events(spark, sf_dir).select("event_id", "event_type", "cents")
@@ -505,6 +512,7 @@ QUERIES = {
         window_avg_panes,
         avg_emit_on_change,
         panes_emit_on_change,
+        local_times,
         running_total,
         carried_window_total,
         over_range,

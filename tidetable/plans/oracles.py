@@ -342,6 +342,9 @@ UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'O' AND o_totalprice < 1000
     "window_avg_panes": AVG_PANES,
     "avg_emit_on_change": AVG_ON_CHANGE,
     "panes_emit_on_change": PANES_ON_CHANGE,
+    "local_times": """
+SELECT event_id, ts + INTERVAL 8 HOUR AS local_ts, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d %H:00') AS local_hour FROM events
+""",
     "running_total": RUNNING_TOTAL,
     "carried_window_total": CARRIED_TOTAL,
     "over_range": OVER_RANGE,

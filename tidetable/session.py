@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -23,6 +23,13 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/tidetable-{uuid.uuid4().hex}"
 
 
+def written_once(df: DataFrame) -> DataFrame:
+    """A table that several parts of a plan read, written into the shared folder so that it is computed once."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def streaming_session(spark: SparkSession) -> SparkSession:
     """A sibling session for streaming jobs: UTC event times and state kept in RocksDB.
 
