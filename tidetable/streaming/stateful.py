@@ -118,8 +118,7 @@ class EmitOnChange(_Processor):
         if held is None:
             same[0] = False
         changed = frame[~same].reset_index(drop=True)
-        shown = [float(v) if g else None for v, g in zip(value[~same], given[~same])]
-        yield pd.DataFrame({"key": changed["key"], "w_start": changed["w_start"], "w_end": changed["w_end"], "value": pd.Series(shown, dtype=object)})
+        yield changed[["key", "w_start", "w_end", "amount", "given"]]
         self.last.update((float(value[-1]), bool(given[-1])))
 
 
@@ -191,9 +190,12 @@ def carried_total(df: DataFrame, key: str, key_type: str = "string", ttl_ms: int
 
 def emit_on_change(df: DataFrame, key: str, key_type: str = "string", ttl_ms: int | None = None) -> DataFrame:
     """`EmitOnChange` over closed windows ``key, w_start, w_end, value``."""
-    schema = f"key {key_type}, w_start timestamp, w_end timestamp, value double"
+    schema = f"key {key_type}, w_start timestamp, w_end timestamp, amount double, given boolean"
     rows = _keyed(df, key).withColumn("value", F.col("value").cast("double"))
-    return _process(rows, EmitOnChange(ttl_ms), schema, ttl_ms)
+    changed = _process(rows, EmitOnChange(ttl_ms), schema, ttl_ms)
+    # on the way back NaN has become null
+    value = F.when(F.col("given"), F.coalesce("amount", F.lit(float("nan"))))
+    return changed.select("key", "w_start", "w_end", value.alias("value"))
 
 
 def window_top_k(df: DataFrame, window_end: str, k: int = 5, shares: int = 8) -> DataFrame:
