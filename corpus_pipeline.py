@@ -1,6 +1,8 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next.
 
-Every stage works on all rows that its predecessor left, and all but the last return the columns of ``documents``.
+Every stage works on all rows that its predecessor left, and all but the last return the columns of ``documents``. Null texts are
+empty texts and stay null until they are packed, as an end of text alone; of repeated rows one stays; rows of a null id are packed like
+others. An empty table gives no rows. Other columns, whatever their names, go through to the last stage.
 """
 
 from __future__ import annotations
@@ -31,8 +33,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by a mark and ``n_chars`` counted anew where that changed the text."""
-    clean = secret_scan.redacted(docs.withColumn("__before", F.col("text")))
-    changed = ~F.col("text").eqNullSafe(F.col("__before"))
+    before = "__before"
+    while before in docs.columns:
+        before += "_"
+    clean = secret_scan.redacted(docs.withColumn(before, F.col("text")))
+    changed = ~F.col("text").eqNullSafe(F.col(before))
     counted = F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return clean.withColumn("n_chars", counted).select(*docs.columns)
 
