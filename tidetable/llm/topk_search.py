@@ -7,8 +7,8 @@ lists of a query are merged ``FAN_IN`` at a time until one is left.
 
 Vectors that are null or hold null or non-finite components take no part; vectors of another length than a query's
 are no candidates for it. A query leaves out its own row only: a repeated row is a candidate. Ties go to the smaller
-id. Products are exact: floats where all sums stay below 2^53, integers of 64 bits otherwise. Where a component or a
-product may not fit 64 bits an error is raised.
+id. Products are exact: floats where all sums stay below 2^53, integers of 64 bits or of any size otherwise. Where a component,
+or a score that is to be returned, does not fit 64 bits an error is raised.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ SCALE = 1024
 SHARD_ROWS = 2048
 QUERY_BLOCK = 512
 FAN_IN = 16
+LARGEST = (1 << 63) - 1
 
 _PACKED = "shard long, width int, rows int, ids binary, marks binary, vectors binary"
 
@@ -88,8 +89,9 @@ def _tiles(k: int):
                     scores = (queries.astype(float) @ vectors.astype(float).T).astype(np.int64)
                 elif most * max(width, 1) < 2**62:
                     scores = queries @ vectors.T
-                else:
-                    raise OverflowError("inner products may not fit 64 bits")
+                else:  # exact at any size, then held at the ends of what 64 bits can say
+                    whole = queries.astype(object) @ vectors.astype(object).T
+                    scores = np.minimum(np.maximum(whole, -LARGEST), LARGEST).astype(np.int64)
                 for query, own in enumerate(marks[None, :] == q_marks[:, None]):
                     score = scores[query]
                     few = k + int(own.sum())
@@ -100,6 +102,8 @@ def _tiles(k: int):
                         near = np.arange(len(score))
                     near = near[~own[near]]
                     near = near[np.lexsort((ids[near], -score[near]))][:k]
+                    if len(near) and np.abs(score[near]).max() == LARGEST:
+                        raise OverflowError("an inner product does not fit 64 bits")
                     pairs = [{"score": s, "vec_id": i} for s, i in zip(score[near].tolist(), ids[near].tolist())]
                     out.append((row["shard"], int(q_marks[query]), int(q_ids[query]), pairs))
             kind = pa.list_(pa.struct([("score", pa.int64()), ("vec_id", pa.int64())]))
