@@ -133,3 +133,23 @@ def test_values_over_batches_need_no_python(session):
     ):
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
+
+
+SINKS_IN_A_FRESH_PROCESS = """
+from pyspark.sql import SparkSession
+from tidetable.session import streaming_session
+from tidetable.sources import user
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+for number in range(3):
+    user.committed_files_sink(streaming_session(spark), "/unused")
+"""
+
+
+def test_sinks_of_sibling_sessions_do_not_clash():
+    """A sibling and its parent both learn a sink's format; each sink, in a fresh process as a driver runs, must not clash."""
+    import subprocess
+    import sys
+
+    root = pathlib.Path(__file__).resolve().parents[1]
+    done = subprocess.run([sys.executable, "-c", SINKS_IN_A_FRESH_PROCESS], cwd=root, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]

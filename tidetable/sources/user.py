@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.fs
 import pyarrow.parquet
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
@@ -171,10 +172,26 @@ class CommittedFiles(DataSource):
 
 
 def committed_files_sink(spark: SparkSession, path: str):
-    """A sink for `run.drain` and its like; `read_committed` reads what it holds."""
-    for session in {spark, SparkSession.getActiveSession() or spark}:  # formats of sinks are looked up in the active session
-        session.dataSource.register(CommittedFiles)
-    return lambda writer: writer.format("committed_files").option("path", path)
+    """A sink for `run.drain` and its like; `read_committed` reads what it holds.
+
+    Each sink gets a name of its own: a new session copies the formats its parent knows, and a name known twice is an error.
+    """
+    name = f"committed_files_{uuid.uuid4().hex[:8]}"
+
+    class Sink(CommittedFiles):
+        @classmethod
+        def name(cls) -> str:
+            return name
+
+    spark.dataSource.register(Sink)  # a stream copies the formats of its session when it starts
+    active = SparkSession.getActiveSession()
+    if active is not None and not active._jsparkSession.equals(spark._jsparkSession):  # formats of sinks are looked up in the active session
+        try:
+            active.dataSource.register(Sink)
+        except AnalysisException as known:
+            if known.getCondition() != "DATA_SOURCE_ALREADY_EXISTS":  # copied from a session it was registered in
+                raise
+    return lambda writer: writer.format(name).option("path", path)
 
 
 def read_committed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
