@@ -80,6 +80,18 @@ def test_scores_equal_a_plain_model(spark, frequent):
         assert Counter((*r[:5], round(r[5], 6)) for r in found) == Counter((*r[:5], round(r[5], 6)) for r in want)
 
 
+def test_ngrams_left_out_of_a_small_filter_are_counted_exactly(spark):
+    """Where the levels don't fit, rare n-grams stay out of the filter; their exact counts give the same scores."""
+    rows = awkward_docs() + [(100 + k, f"the Fog lifted {k % 7} times over the old harbour é{k % 3} " * (k % 5)) for k in range(60)]
+    from pyspark.sql import functions as F
+
+    training = docs(spark, rows).where(~lm_scoring.held_out(F.col("doc_id"))).select(lm_scoring.text_of("text").alias("text"))
+    grams = lm_scoring.by_size(lm_scoring.counted_grams(training))
+    assert lm_scoring.fitted(grams, filter_bits=64).least > 1
+    got = lm_scoring.lm_scores(docs(spark, rows), filter_bits=64).collect()
+    assert rounded(got) == rounded(plain_scores(rows))
+
+
 def test_no_training_rows_and_no_rows(spark):
     out = [i for i in range(200) if is_held_out(i)][:4]
     rows = [(out[0], "some words"), (out[1], None), (out[2], ""), (None, "x " * 50)]

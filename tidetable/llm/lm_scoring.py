@@ -11,6 +11,8 @@ probabilities of all continuations sum to one at most:
 The filter has ``FILTER_BITS`` bits whatever the input, and is broadcast with the exact counts of the ``FREQUENT`` commonest
 words at most; other words' counts come from the filter too. Where the levels of all n-grams don't fit at ``BITS_PER_LEVEL``,
 the least count that goes in rises until they do, chosen from the counts of all n-grams; it stays 1 as long as it can.
+Tokens that meet an n-gram left out so are scored apart: their left-out n-grams are joined with their exact counts, which
+give the levels that the filter would have held.
 
 The unigram base score is exact for every word: words outside the broadcast table are joined with their counts, where none
 is commoner than a 2^18th of all tokens. Words are told apart by 64-bit hashes of their bytes.
@@ -295,8 +297,10 @@ def fitted(grams: DataFrame, filter_bits: int = FILTER_BITS, frequent: int = FRE
 
 _SCORED = (
     "doc_id long, held_out boolean, n_tokens long, n_common long, base_common double, score double, "
-    "rare_keys array<long>, rare_counts array<long>"
+    "rare_keys array<long>, rare_counts array<long>, "
+    "doubt array<struct<word:long, before:long, pair:long, low:long, top:long, high:long, seen:long>>"
 )
+_DOUBT = ["word", "before", "pair", "low", "top", "high", "seen"]
 
 
 def _scored(held):
@@ -336,6 +340,22 @@ def _scored_slice(model: Model, batch: pa.RecordBatch) -> pa.RecordBatch:
     # no more pairs can have been seen than there are of either word
     seen = np.minimum(seen, np.minimum(high[of], high[before]))
     chance = (seen + PRIOR * alone[of]) / (high[before] + PRIOR)
+    # n-grams rarer than the least count that went in are absent but may have been seen: such tokens are scored apart
+    out = np.zeros(len(words), bool) if model.least <= 1 else ~common & (levels == 0)
+    pair_out = np.zeros(len(tokens), bool) if model.least <= 1 else pair_levels[pair_of] == 0
+    doubt = out[of] | out[before] | pair_out
+    chance = np.where(doubt, 1.0, chance)
+    apart = np.flatnonzero(doubt)
+    absent = lambda flag, values: np.where(flag, -1, values)[apart]
+    doubt_columns = [
+        words[of][apart].view(np.int64), words[before][apart].view(np.int64), pairs[pair_of][apart].view(np.int64),
+        absent(out[of], low[of]), absent(out[of], high[of]), absent(out[before], high[before]),
+        absent(pair_out, np.where(asked, model.low(pair_levels), 0)[pair_of]),
+    ]
+    doubt_begins = np.searchsorted(text[apart], np.arange(len(sizes) + 1))
+    doubts = pa.ListArray.from_arrays(
+        pa.array(doubt_begins, pa.int32()), pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in doubt_columns], _DOUBT)
+    )
 
     is_common = common[of]
     base = np.where(is_common, np.log10(counts[of] + FLOOR), 0.0)
@@ -357,8 +377,9 @@ def _scored_slice(model: Model, batch: pa.RecordBatch) -> pa.RecordBatch:
             pa.array(summed(np.log10(chance))),
             lists(tokens[order][firsts].view(np.int64)),
             lists(times),
+            doubts,
         ],
-        names=["doc_id", "held_out", "n_tokens", "n_common", "base_common", "score", "rare_keys", "rare_counts"],
+        names=["doc_id", "held_out", "n_tokens", "n_common", "base_common", "score", "rare_keys", "rare_counts", "doubt"],
     )
 
 
@@ -376,7 +397,10 @@ def scored(docs: DataFrame, model: Model, grams: DataFrame, doc_id: str = "doc_i
     log = F.log10(F.coalesce("n", F.lit(0)).cast("double") + F.lit(FLOOR))
     known = F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)
     sums = joined.groupBy(F.col("mark").alias("__mark")).agg(F.sum(known).alias("n_rare"), F.sum(F.col("times") * log).alias("base_rare"))
-    whole = rows.drop("rare_keys", "rare_counts").join(sums, F.col("mark") == F.col("__mark"), "left")
+    whole = rows.drop("rare_keys", "rare_counts", "doubt").join(sums, F.col("mark") == F.col("__mark"), "left")
+    if model.least > 1:
+        whole = whole.join(_scored_apart(rows, grams, model.mass), F.col("mark") == F.col("__apart"), "left")
+        whole = whole.withColumn("score", F.col("score") + F.coalesce("apart", F.lit(0.0)))
     base = F.col("base_common") + F.coalesce("base_rare", F.lit(0.0)) - F.col("n_tokens") * F.lit(math.log10(model.mass))
     return whole.select(
         "doc_id",
@@ -389,6 +413,42 @@ def scored(docs: DataFrame, model: Model, grams: DataFrame, doc_id: str = "doc_i
     )
 
 
+def _apart(mass: float):
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            given = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in batch.schema.names}
+            level = lambda name: level_of(given[name])
+            lows = lambda levels: np.where(levels > 0, LEVELS[np.maximum(levels, 1) - 1], 0)
+            highs = lambda levels: np.where(levels > 0, LEVELS[levels] - 1, 0)
+            low = np.where(given["low"] < 0, lows(level("n_word")), given["low"])
+            top = np.where(given["top"] < 0, highs(level("n_word")), given["top"])
+            high = np.where(given["high"] < 0, highs(level("n_before")), given["high"])
+            seen = np.where(given["seen"] < 0, lows(level("n_pair")), given["seen"])
+            seen = np.minimum(seen, np.minimum(top, high))
+            chance = (seen + PRIOR * (low + FLOOR) / mass) / (high + PRIOR)
+            yield pa.RecordBatch.from_arrays([batch.column("mark"), pa.array(np.log10(chance))], names=["mark", "part"])
+
+    return score
+
+
+def _scored_apart(rows: DataFrame, grams: DataFrame, mass: float) -> DataFrame:
+    """``__apart, apart``: per row the log-probability of its tokens that meet n-grams left out of the filter."""
+    tokens = rows.select("mark", F.posexplode("doubt").alias("at", "d")).select("mark", "at", "d.*")
+    asked = [
+        tokens.where(F.col(flag) < 0).select("mark", "at", F.lit(what).alias("what"), F.lit(size).cast("tinyint").alias("size"), F.col(key).alias("key"))
+        for what, size, key, flag in (("word", 1, "word", "low"), ("before", 1, "before", "high"), ("pair", 2, "pair", "seen"))
+    ]
+    asked = asked[0].unionByName(asked[1]).unionByName(asked[2])
+    found = asked.join(grams, ["size", "key"], "left").groupBy("mark", "at").agg(
+        *(F.max(F.when(F.col("what") == what, F.coalesce("n", F.lit(0)))).alias(f"n_{what}") for what in ("word", "before", "pair"))
+    )
+    exact = tokens.join(found, ["mark", "at"], "left").select(
+        "mark", "low", "top", "high", "seen", *(F.coalesce(f"n_{what}", F.lit(0).cast("long")).alias(f"n_{what}") for what in ("word", "before", "pair"))
+    )
+    parts = exact.mapInArrow(_apart(mass), "mark long, part double")
+    return parts.groupBy(F.col("mark").alias("__apart")).agg(F.sum("part").alias("apart"))
+
+
 def lm_scores(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_bits: int = FILTER_BITS, frequent: int = FREQUENT
 ) -> DataFrame:
