@@ -434,17 +434,17 @@ def _apart(mass: float):
 def _scored_apart(rows: DataFrame, grams: DataFrame, mass: float) -> DataFrame:
     """``__apart, apart``: per row the log-probability of its tokens that meet n-grams left out of the filter."""
     tokens = rows.select("mark", F.posexplode("doubt").alias("at", "d")).select("mark", "at", "d.*")
+    carried = ["mark", "at", "low", "top", "high", "seen"]
     asked = [
-        tokens.where(F.col(flag) < 0).select("mark", "at", F.lit(what).alias("what"), F.lit(size).cast("tinyint").alias("size"), F.col(key).alias("key"))
+        tokens.where(F.col(flag) < 0).select(*carried, F.lit(what).alias("what"), F.lit(size).cast("tinyint").alias("size"), F.col(key).alias("key"))
         for what, size, key, flag in (("word", 1, "word", "low"), ("before", 1, "before", "high"), ("pair", 2, "pair", "seen"))
     ]
     asked = asked[0].unionByName(asked[1]).unionByName(asked[2])
-    found = asked.join(grams, ["size", "key"], "left").groupBy("mark", "at").agg(
-        *(F.max(F.when(F.col("what") == what, F.coalesce("n", F.lit(0)))).alias(f"n_{what}") for what in ("word", "before", "pair"))
+    # a token's own values travel with each of its left-out n-grams, so no join back to the tokens is needed
+    exact = asked.join(grams, ["size", "key"], "left").groupBy("mark", "at").agg(
+        *(F.first(c).alias(c) for c in ("low", "top", "high", "seen")),
+        *(F.coalesce(F.max(F.when(F.col("what") == what, F.col("n"))), F.lit(0).cast("long")).alias(f"n_{what}") for what in ("word", "before", "pair")),
     )
-    exact = tokens.join(found, ["mark", "at"], "left").select(
-        "mark", "low", "top", "high", "seen", *(F.coalesce(f"n_{what}", F.lit(0).cast("long")).alias(f"n_{what}") for what in ("word", "before", "pair"))
-    )
     parts = exact.mapInArrow(_apart(mass), "mark long, part double")
     return parts.groupBy(F.col("mark").alias("__apart")).agg(F.sum("part").alias("apart"))
 
