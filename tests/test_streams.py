@@ -248,3 +248,21 @@ def test_visitors_changelog_over_batches_and_a_retry(spark, folder):
     want = aggregate_changelog(whole, ["dt"], "seq", {"pv": ("count", "*"), "uv": ("count_distinct", "visitor")})
     got = sinks.read_batches(spark, f"{folder}/out").select(*want.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_word_count_stream_adds_counts_up_without_a_state_store(spark, monkeypatch):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tests.conftest import SF_DIR
+    from tidetable.plans import streams
+    from tidetable.plans.tables import table, utc_wall
+
+    made = []
+    monkeypatch.setattr(streams, "shared_folder", lambda caller: made.append(shared_folder(caller)) or made[-1])
+    got = streams.stream_word_count(spark, SF_DIR)
+    docs = table(spark, SF_DIR, "documents").select(F.timestamp_seconds("doc_id").alias("arrival"), "text")
+    want = windowed.word_count(docs, "text", "arrival", "5 minutes").withColumns({c: utc_wall(c) for c in streams.WINDOW})
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+    assert not os.path.exists(f"{made[0]}/checkpoint/state")
