@@ -113,6 +113,15 @@ def test_products_beyond_floats(spark):
     assert H.table(topk_search.nearest(frame, F.col("vec_id") == 0)) == best(rows)
 
 
+def test_copies_of_query_blocks_are_not_broadcast(spark):
+    """Copies for every task are far larger than the planner takes them for; a broadcast would hold them in the driver."""
+    rows = [(i, [float(i % 7), i / 4.0, -1.0]) for i in range(330)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found = topk_search.nearest(frame, F.col("vec_id") % 100 == 0, shard_rows=16)
+    assert H.table(found) == best(rows)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 # ---- conversations
 
 

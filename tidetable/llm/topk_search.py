@@ -2,8 +2,8 @@
 
 Vectors become integers (``floor(1024 * x)``) and are packed into shards, one row per shard; queries into blocks of
 ``QUERY_BLOCK``. Every query block meets every shard once, as a tile of bounded size: the blocks, a hundredth of the
-rows, are dealt to groups of shards by an equi-join. A tile keeps the ``k`` best candidates of each of its queries; the
-lists of a query are merged ``FAN_IN`` at a time until one is left.
+rows, are dealt to groups of shards by an equi-join. A tile keeps the ``k`` best candidates of each of its queries, and a
+task one list per query over its tiles; the lists of a query are merged ``FAN_IN`` at a time until one is left.
 
 Vectors that are null or hold null or non-finite components take no part; vectors of another length than a query's
 are no candidates for it. A query leaves out its own row only: a repeated row is a candidate. Ties go to the smaller
@@ -27,6 +27,7 @@ SCALE = 1024
 SHARD_ROWS = 2048
 QUERY_BLOCK = 512
 FAN_IN = 16
+HELD_HITS = 1 << 21  # hits a task keeps before it hands them on
 LARGEST = (1 << 63) - 1
 
 _PACKED = "shard long, width int, rows int, ids binary, marks binary, vectors binary"
@@ -43,6 +44,8 @@ def _pack(rows_at_most: int):
             nonlocal made
             ids, marks, vectors = (np.concatenate(x) for x in zip(*parts))
             shard, made = (TaskContext.get().partitionId() << 32) | made, made + 1
+            most = max(int(vectors.max(initial=0)), -int(vectors.min(initial=0)))
+            vectors = vectors.astype(np.int16 if most < 1 << 15 else np.int32 if most < 1 << 31 else np.int64)
             values = [shard, width, len(ids), ids.tobytes(), marks.tobytes(), vectors.tobytes()]
             types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
             names = ["shard", "width", "rows", "ids", "marks", "vectors"]
@@ -74,41 +77,68 @@ def _pack(rows_at_most: int):
 _FOUND = "shard long, query_mark long, query_id long, best array<struct<score:long,vec_id:long>>"
 
 
+def _matrix(data: pa.Buffer, rows: int, width: int) -> np.ndarray:
+    kind = np.dtype(f"i{len(data) // (rows * width)}") if rows * width else np.int64
+    return np.frombuffer(data, kind).reshape(rows, width)
+
+
+def _scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Inner products of all rows, exact at any size and then held at the ends of what 64 bits can say."""
+    left, right = queries.astype(float), vectors.astype(float)
+    most = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * max(queries.shape[1], 1)
+    if most < 2**53:
+        return (left @ right.T).astype(np.int64)
+    if most < 2**62:
+        return queries.astype(np.int64) @ vectors.astype(np.int64).T
+    whole = queries.astype(object) @ vectors.astype(object).T
+    return np.minimum(np.maximum(whole, -LARGEST), LARGEST).astype(np.int64)
+
+
+def _firsts(at: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Of each query the ``k`` highest scores, ties to the smaller id."""
+    order = np.lexsort((ids, -score, at))
+    at = at[order]
+    begins = np.searchsorted(at, at)
+    keep = order[np.arange(len(at)) - begins < k]
+    return at[np.arange(len(at)) - begins < k], score[keep], ids[keep]
+
+
 def _tiles(k: int):
+    """The best candidates of every query, selected per tile; what a task has seen of a query leaves it as one list."""
+
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, tuple] = {}  # by the marks of a query block: shard, marks, ids, hits
+
+        def lists() -> Iterator[pa.RecordBatch]:
+            for shard, q_marks, q_ids, (at, score, ids) in held.values():
+                hits = pa.StructArray.from_arrays([pa.array(score), pa.array(ids)], ["score", "vec_id"])
+                ends = pa.array(np.searchsorted(at, np.arange(len(q_ids) + 1)), pa.int32())
+                columns = [pa.array(np.full(len(q_ids), shard)), pa.array(q_marks), pa.array(q_ids), pa.ListArray.from_arrays(ends, hits)]
+                yield pa.RecordBatch.from_arrays(columns, names=["shard", "query_mark", "query_id", "best"])
+            held.clear()
+
         for batch in batches:
-            out: list[tuple[int, int, int, list[dict]]] = []
-            for row in batch.to_pylist():
-                width = row["width"]
-                ids, marks = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["marks"], np.int64)
-                q_ids, q_marks = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["q_marks"], np.int64)
-                queries = np.frombuffer(row["q_vectors"], np.int64).reshape(len(q_ids), width)
-                vectors = np.frombuffer(row["vectors"], np.int64).reshape(len(ids), width)
-                most = float(np.abs(queries.astype(float)).max(initial=0)) * float(np.abs(vectors.astype(float)).max(initial=0))
-                if most * max(width, 1) < 2**53:
-                    scores = (queries.astype(float) @ vectors.astype(float).T).astype(np.int64)
-                elif most * max(width, 1) < 2**62:
-                    scores = queries @ vectors.T
-                else:  # exact at any size, then held at the ends of what 64 bits can say
-                    whole = queries.astype(object) @ vectors.astype(object).T
-                    scores = np.minimum(np.maximum(whole, -LARGEST), LARGEST).astype(np.int64)
-                for query, own in enumerate(marks[None, :] == q_marks[:, None]):
-                    score = scores[query]
-                    few = k + int(own.sum())
-                    if len(score) > few:
-                        floor = np.partition(score, len(score) - few)[len(score) - few]
-                        near = np.flatnonzero(score >= floor)
-                    else:
-                        near = np.arange(len(score))
-                    near = near[~own[near]]
-                    near = near[np.lexsort((ids[near], -score[near]))][:k]
-                    if len(near) and np.abs(score[near]).max() == LARGEST:
-                        raise OverflowError("an inner product does not fit 64 bits")
-                    pairs = [{"score": s, "vec_id": i} for s, i in zip(score[near].tolist(), ids[near].tolist())]
-                    out.append((row["shard"], int(q_marks[query]), int(q_ids[query]), pairs))
-            kind = pa.list_(pa.struct([("score", pa.int64()), ("vec_id", pa.int64())]))
-            columns = [pa.array([x[c] for x in out], t) for c, t in enumerate([pa.int64()] * 3 + [kind])]
-            yield pa.RecordBatch.from_arrays(columns, names=["shard", "query_mark", "query_id", "best"])
+            for row in range(batch.num_rows):
+                shard, width = batch.column("shard")[row].as_py(), batch.column("width")[row].as_py()
+                ids, marks, q_ids, q_marks = (np.frombuffer(batch.column(c)[row].as_buffer(), np.int64) for c in ("ids", "marks", "q_ids", "q_marks"))
+                queries, vectors = (_matrix(batch.column(c)[row].as_buffer(), n, width) for c, n in (("q_vectors", len(q_ids)), ("vectors", len(ids))))
+                scores = _scores(queries, vectors)
+                own = marks[None, :] == q_marks[:, None]
+                scores[own] = -LARGEST - 1  # below all others
+                near = ~own
+                if scores.shape[1] > k:
+                    near &= scores >= np.partition(scores, -k, axis=1)[:, -k:-k + 1]
+                at, of = np.nonzero(near)
+                at, score, of_ids = _firsts(at, scores[at, of], ids[of], k)
+                if len(score) and np.abs(score).max() == LARGEST:
+                    raise OverflowError("an inner product does not fit 64 bits")
+                block = q_marks.tobytes()
+                if block in held:
+                    at, score, of_ids = _firsts(*(np.concatenate(x) for x in zip(held[block][3], (at, score, of_ids))), k)
+                held[block] = (shard, q_marks.copy(), q_ids.copy(), (at, score, of_ids))
+                if sum(len(x[1]) for x in held.values()) * k > HELD_HITS:
+                    yield from lists()
+        yield from lists()
 
     return best
 
@@ -156,17 +186,18 @@ def nearest(
     groups = shuffle_partitions(spark)
     dealt = blocks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     shards = shards.withColumn("group", F.pmod(F.xxhash64("shard"), F.lit(groups)).cast("int"))
-    tiles = shards.join(dealt, (shards["group"] == dealt["group"]) & (shards["width"] == dealt["q_width"])).select(
+    # no broadcast: the planner knows the size of the blocks, not of their copies, which would all go through the driver
+    tiles = shards.join(dealt.hint("merge"), (shards["group"] == dealt["group"]) & (shards["width"] == dealt["q_width"])).select(
         "shard", "width", "ids", "marks", "vectors", "q_ids", "q_marks", "q_vectors"
     )
-    return merged(tiles.mapInArrow(_tiles(k), _FOUND), k, shards.count())
+    return merged(tiles.mapInArrow(_tiles(k), _FOUND), k, min(shards.count(), groups))
 
 
-def merged(lists: DataFrame, k: int, n_shards: int) -> DataFrame:
-    """The lists of every query, one per shard, merged in a tree in which about ``FAN_IN`` lists meet at a time."""
+def merged(lists: DataFrame, k: int, n_lists: int) -> DataFrame:
+    """The lists of every query, one per task, merged in a tree in which about ``FAN_IN`` lists meet at a time."""
     order = lambda x: F.struct((-x["score"]).alias("down"), x["vec_id"].alias("vec_id"), x["score"].alias("score"))
     lists = lists.withColumn("best", F.transform("best", order))
-    nodes = FAN_IN ** math.ceil(math.log(max(n_shards, 1), FAN_IN))
+    nodes = FAN_IN ** math.ceil(math.log(max(n_lists, 1), FAN_IN))
     lists = lists.withColumn("__node", F.xxhash64("shard"))
     while nodes:
         nodes = nodes // FAN_IN
