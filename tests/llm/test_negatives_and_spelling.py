@@ -74,6 +74,14 @@ def test_hard_negatives_equal_a_plain_version(spark, block):
     assert table(got) == want and len(want) > 100
 
 
+def test_copies_of_anchor_blocks_are_not_broadcast(spark):
+    """Copies for every cell are far larger than the planner takes them for; a broadcast would hold them in the driver."""
+    rows = vector_rows()
+    got = hard_negatives.hard_negatives(vectors(spark, rows), F.col("vec_id") % 10 == 0, F.col("label"), shard_rows=7, anchor_block=3)
+    assert table(got) == plain_negatives(rows, lambda i: i % 10 == 0)
+    assert "BroadcastHashJoin [cell" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hard_negatives_with_large_components_and_without_rows(spark):
     rng = random.Random(1)
     rows = [(i, i % 2, [float(rng.randrange(-(2**20), 2**20)) * 2**s for s in (0, 1, 3)]) for i in range(40)]

@@ -235,7 +235,8 @@ def _cells(blocks: DataFrame, shards: DataFrame, n_anchors: int, n_rows: int, me
     left = left.withColumn("a_cell", F.explode(F.sequence(band * across, band * across + (across - 1))))
     band = F.pmod(F.xxhash64("block"), F.lit(across)).cast("int")
     right = shards.withColumn("cell", F.explode(F.sequence(band, band + across * (down - 1), F.lit(across))))
-    return right.join(left, (F.col("cell") == F.col("a_cell")) & (F.col("width") == F.col("a_width")) & meet).drop("positives")
+    # no broadcast: the planner knows the size of the blocks, not of their copies, which would all go through the driver
+    return right.join(left.hint("merge"), (F.col("cell") == F.col("a_cell")) & (F.col("width") == F.col("a_width")) & meet).drop("positives")
 
 
 def _packed(rows: DataFrame, n_rows: int, at_most: int) -> DataFrame:
