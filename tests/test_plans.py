@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF_DIR
 from tidetable.operators import windowed
@@ -56,3 +57,18 @@ def test_sliding_windows_deal_a_key_over_stretches_of_time(spark):
     assert len(plan) < 12_000
     assert re.search(r"hashpartitioning\(event_type#\d+, __stretch#\d+", plan)
     assert not re.search(r"hashpartitioning\(event_type#\d+, \d+\)", plan)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_overlapping_counts_are_shuffled_once(spark, kind):
+    """Partial rows of a key and stretch of time cross the network; their copies in windows do not."""
+    rows = [(None if i % 31 == 0 else (i * 7919) % 9000 - 3000, "abc"[i % 3], None if i % 5 == 0 else i % 4 - 1) for i in range(400)]
+    df = spark.createDataFrame(rows, "second int, k string, v int").repartition(3)
+    start = F.lit("2021-03-14 00:10:00").cast(kind)
+    df = df.withColumn("ts", start + F.make_dt_interval(secs=F.col("second") + F.lit(0.5).cast("decimal(18,6)")))
+    measures = {"n": ("count", "*"), "given": ("count", "v"), "total": ("sum", "v")}
+    got = windowed.window_aggregate(df, "ts", ["k"], measures, "5 minutes", "1 minute")
+    plain = windowed.window_aggregate(df, "ts", ["k"], measures, "5 minutes", "1 minute", preaggregate=False)
+    assert got.dtypes == plain.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    assert len(re.findall(r"Exchange hashpartitioning", plan_of(got).split("Initial Plan")[-1])) == 1

@@ -88,6 +88,21 @@ def starts(ts: str, size: str, slide: str | None = None, into: str = "w_start")
     return window["start"].alias(into)
 
 
+def seconds_of(ts: Column, kind: str) -> Column:
+    """Whole seconds from the epoch to a time of type ``kind``, rounded down; zoneless times by their own clock."""
+    if kind == "timestamp":
+        return F.unix_seconds(ts)
+    since = ts.cast("timestamp_ntz") - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.floor(since.cast("interval second").cast("decimal(18,6)")).cast("long")
+
+
+def time_of(seconds: Column, kind: str) -> Column:
+    """The time of type ``kind`` so many seconds after the epoch."""
+    if kind == "timestamp":
+        return F.timestamp_seconds(seconds)
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
 def shifts(size: str, slide: str) -> Column:
     """How far before a slide-wide slice the overlapping windows that cover it start."""
     last = micros_of(size) - micros_of(slide)
