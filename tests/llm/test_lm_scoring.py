@@ -92,6 +92,30 @@ def test_ngrams_left_out_of_a_small_filter_are_counted_exactly(spark):
     assert rounded(got) == rounded(plain_scores(rows))
 
 
+def rare_docs():
+    """Most words and pairs occur once."""
+    return [(i, " ".join(["the", "old"] * (i % 3) + [f"w{(i * 131 + k * k * 17) % 2503}" for k in range(25)])) for i in range(90)]
+
+
+@pytest.mark.parametrize("filter_bits, least", [(1 << 13, 2), (1 << 10, 3)])
+def test_only_what_the_filter_leaves_open_is_looked_up(spark, filter_bits, least):
+    """A left-out n-gram of a training text that can only be there once needs no lookup; others are looked up in rounds."""
+    from pyspark.sql import functions as F
+
+    rows = rare_docs()
+    training = docs(spark, rows).where(~lm_scoring.held_out(F.col("doc_id"))).select(lm_scoring.text_of("text").alias("text"))
+    model = lm_scoring.fitted(lm_scoring.by_size(lm_scoring.counted_grams(training)), filter_bits, 8)
+    assert model.least == least if least == 2 else model.least >= least
+    given = pa.record_batch({"doc_id": [i for i, _ in rows], "held_out": [is_held_out(i) for i, _ in rows], "text": [t for _, t in rows]})
+    scored = lm_scoring._scored_slice(model, given, learned=True)
+    columns = [f"{what}_{share}" for what in ("words", "pairs") for share in range(lm_scoring.ROUNDS)]
+    for held, *asked in zip(given.column("held_out").to_pylist(), *(scored.column(c).to_pylist() for c in columns)):
+        assert any(asked) == (held or least > 2)
+        assert all(d["word"] is not None or d["before"] is not None for words in asked[: lm_scoring.ROUNDS] for d in words)
+        assert all(d["pair"] % lm_scoring.ROUNDS == share % lm_scoring.ROUNDS for share, tokens in enumerate(asked) for d in tokens)
+    assert rounded(lm_scoring.lm_scores(docs(spark, rows), filter_bits=filter_bits, frequent=8).collect()) == rounded(plain_scores(rows))
+
+
 def test_no_training_rows_and_no_rows(spark):
     out = [i for i in range(200) if is_held_out(i)][:4]
     rows = [(out[0], "some words"), (out[1], None), (out[2], ""), (None, "x " * 50)]

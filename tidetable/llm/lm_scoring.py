@@ -11,8 +11,10 @@ probabilities of all continuations sum to one at most:
 The filter has ``FILTER_BITS`` bits whatever the input, and is broadcast with the exact counts of the ``FREQUENT`` commonest
 words at most; other words' counts come from the filter too. Where the levels of all n-grams don't fit at ``BITS_PER_LEVEL``,
 the least count that goes in rises until they do, chosen from the counts of all n-grams; it stays 1 as long as it can.
-Tokens that meet an n-gram left out so are scored apart: their left-out n-grams are joined with their exact counts, which
-give the levels that the filter would have held.
+An n-gram of a training text that is left out where only counts of 1 are has that count. Other tokens that meet an n-gram
+left out are scored apart: their left-out n-grams are joined with their exact counts, which give the levels that the filter
+would have held. Pairs are looked up in ``ROUNDS`` shares of their hashes, one after the other, and shuffled files go as soon
+as a step is written, so that they don't lie on disk together.
 
 The unigram base score is exact for every word: words outside the broadcast table are joined with their counts, where none
 is commoner than a 2^18th of all tokens. Words are told apart by 64-bit hashes of their bytes.
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidetable.llm.hashing import mixed, prefix_sums, stretch
-from tidetable.llm.shared import bytes_of, materialize, ship, slices, text_of
+from tidetable.llm.shared import bytes_of, materialize, ship, shuffles_removed, slices, text_of
 from tidetable.session import shared_folder
 
 FILTER_BITS = 1 << 28
@@ -47,6 +49,7 @@ FOLDS = 10
 SLICE_BYTES = 2 << 20
 HASHED_BYTES = 1 << 20  # words are hashed in stretches of about so many bytes
 HELD_GRAMS = 1 << 20
+ROUNDS = 8  # a power of two
 FINE_COUNTS = 4096  # counts above fall into classes of powers of two when they are tallied
 
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
@@ -148,9 +151,11 @@ def counted_grams(texts: DataFrame) -> DataFrame:
 
 
 def by_size(grams: DataFrame) -> DataFrame:
-    """Counts written into the shared folder, words and pairs apart, so that words can be read alone."""
+    """Counts written into the shared folder, words and pairs and the ``ROUNDS`` shares of their keys apart, to be read alone."""
     path = shared_folder(grams.sparkSession)
-    grams.write.partitionBy("size").parquet(path)
+    with shuffles_removed(grams.sparkSession):
+        grams = grams.withColumn("share", F.pmod("key", F.lit(ROUNDS)).cast("int"))
+        grams.write.partitionBy("size", "share").parquet(path)
     return grams.sparkSession.read.schema(grams.schema).parquet(path)
 
 
@@ -278,7 +283,8 @@ def fitted(grams: DataFrame, filter_bits: int = FILTER_BITS, frequent: int = FRE
     block = F.shiftrightunsigned("key", 64 - (blocks - 1).bit_length()).cast("int") if blocks > 1 else F.lit(0)
     kept = grams.where(F.col("n") >= least).select(block.alias("block"), "key", "n")
     bits = np.zeros((blocks, BLOCK_BITS // 8), np.uint8)
-    made = kept.groupBy("block").applyInArrow(_filter_block, "block int, bits binary").toArrow()
+    with shuffles_removed(grams.sparkSession):
+        made = kept.groupBy("block").applyInArrow(_filter_block, "block int, bits binary").toArrow()
     for number, held in zip(made.column("block").to_pylist(), made.column("bits")):
         bits[number] = np.frombuffer(held.as_buffer(), np.uint8)
 
@@ -297,23 +303,24 @@ def fitted(grams: DataFrame, filter_bits: int = FILTER_BITS, frequent: int = FRE
 
 _SCORED = (
     "doc_id long, held_out boolean, n_tokens long, n_common long, base_common double, score double, "
-    "rare_keys array<long>, rare_counts array<long>, "
-    "doubt array<struct<word:long, before:long, pair:long, low:long, top:long, high:long, seen:long>>"
+    "rare_keys array<long>, rare_counts array<long>"
+) + "".join(
+    f", words_{share} array<struct<word:long, before:long, pair:long, low:long, top:long, high:long>>, pairs_{share} array<struct<pair:long, low:long, top:long, high:long>>"
+    for share in range(ROUNDS)
 )
-_DOUBT = ["word", "before", "pair", "low", "top", "high", "seen"]
 
 
-def _scored(held):
+def _scored(held, learned: bool):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = held.value
         for batch in batches:
             for first, end in slices(np.diff(bytes_of(batch.column(2))[1]), SLICE_BYTES):
-                yield _scored_slice(model, batch.slice(first, end - first))
+                yield _scored_slice(model, batch.slice(first, end - first), learned)
 
     return score
 
 
-def _scored_slice(model: Model, batch: pa.RecordBatch) -> pa.RecordBatch:
+def _scored_slice(model: Model, batch: pa.RecordBatch, learned: bool = False) -> pa.RecordBatch:
     tokens, previous, sizes = token_keys(batch.column(2))
     text = np.repeat(np.arange(len(sizes)), sizes)
     summed = lambda values: np.bincount(text, values, len(sizes))
@@ -324,7 +331,6 @@ def _scored_slice(model: Model, batch: pa.RecordBatch) -> pa.RecordBatch:
     levels[~common] = model.levels(words[~common])
     low = np.where(common, counts, model.low(levels))
     high = np.where(common, counts, model.high(levels))
-    alone = (low + FLOOR) / model.mass
 
     pairs, pair_of = np.unique(pair_keys(previous, tokens), return_inverse=True)
     # the word before, as a place among the words of the slice; a start stands in for the end, as there are as many
@@ -337,25 +343,40 @@ def _scored_slice(model: Model, batch: pa.RecordBatch) -> pa.RecordBatch:
     pair_levels = np.zeros(len(pairs), np.int64)
     pair_levels[asked] = model.levels(pairs[asked])
     seen = np.where(asked, model.low(pair_levels), 0)[pair_of]
-    # no more pairs can have been seen than there are of either word
-    seen = np.minimum(seen, np.minimum(high[of], high[before]))
-    chance = (seen + PRIOR * alone[of]) / (high[before] + PRIOR)
-    # n-grams rarer than the least count that went in are absent but may have been seen: such tokens are scored apart
+    # n-grams rarer than the least count that went in are absent but may have been seen
     out = np.zeros(len(words), bool) if model.least <= 1 else ~common & (levels == 0)
     pair_out = np.zeros(len(tokens), bool) if model.least <= 1 else pair_levels[pair_of] == 0
-    doubt = out[of] | out[before] | pair_out
+    word_out, before_out = out[of], out[before]
+    # where that can only be once, a text that was learned from holds it that once; other such tokens are scored apart
+    once = np.zeros(len(tokens), bool)
+    if learned and model.least == 2:
+        once = ~batch.column(1).to_numpy(zero_copy_only=False).astype(bool)[text]
+    doubt = (word_out | before_out | pair_out) & ~once
+    low, top = np.where(word_out & once, 1, low[of]), np.where(word_out & once, 1, high[of])
+    high = np.where(before_out & once, 1, high[before])
+    seen = np.where(pair_out & once, 1, seen)
+    # no more pairs can have been seen than there are of either word
+    chance = (np.minimum(seen, np.minimum(top, high)) + PRIOR * ((low + FLOOR) / model.mass)) / (high + PRIOR)
     chance = np.where(doubt, 1.0, chance)
-    apart = np.flatnonzero(doubt)
-    absent = lambda flag, values: np.where(flag, -1, values)[apart]
-    doubt_columns = [
-        words[of][apart].view(np.int64), words[before][apart].view(np.int64), pairs[pair_of][apart].view(np.int64),
-        absent(out[of], low[of]), absent(out[of], high[of]), absent(out[before], high[before]),
-        absent(pair_out, np.where(asked, model.low(pair_levels), 0)[pair_of]),
-    ]
-    doubt_begins = np.searchsorted(text[apart], np.arange(len(sizes) + 1))
-    doubts = pa.ListArray.from_arrays(
-        pa.array(doubt_begins, pa.int32()), pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in doubt_columns], _DOUBT)
-    )
+    columns = {
+        "word": (tokens.view(np.int64), ~word_out), "before": (words[before].view(np.int64), ~before_out), "pair": (pairs[pair_of].view(np.int64), None),
+        "low": (low, word_out), "top": (top, word_out), "high": (high, before_out),
+    }
+
+    def chosen(flag: np.ndarray, names: list[str]) -> pa.ListArray:
+        at = np.flatnonzero(flag)
+        begins = np.searchsorted(text[at], np.arange(len(sizes) + 1))
+        arrays = [pa.array(columns[name][0][at], pa.int64(), mask=None if columns[name][1] is None else columns[name][1][at]) for name in names]
+        return pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.StructArray.from_arrays(arrays, names))
+
+    # a pair with a word that is left out is left out too; most tokens ask for their pair alone. Each is in the share of its pair
+    word_asked = word_out | before_out
+    share = (pairs & np.uint64(ROUNDS - 1)).astype(np.int8)[pair_of]
+    asked_for = {}
+    for turn in range(ROUNDS):
+        mine = doubt & (share == turn)
+        asked_for[f"words_{turn}"] = chosen(mine & word_asked, list(columns))
+        asked_for[f"pairs_{turn}"] = chosen(mine & ~word_asked, ["pair", "low", "top", "high"])
 
     is_common = common[of]
     base = np.where(is_common, np.log10(counts[of] + FLOOR), 0.0)
@@ -377,19 +398,22 @@ def _scored_slice(model: Model, batch: pa.RecordBatch) -> pa.RecordBatch:
             pa.array(summed(np.log10(chance))),
             lists(tokens[order][firsts].view(np.int64)),
             lists(times),
-            doubts,
+            *asked_for.values(),
         ],
-        names=["doc_id", "held_out", "n_tokens", "n_common", "base_common", "score", "rare_keys", "rare_counts", "doubt"],
+        names=["doc_id", "held_out", "n_tokens", "n_common", "base_common", "score", "rare_keys", "rare_counts", *asked_for],
     )
 
 
-def scored(docs: DataFrame, model: Model, grams: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``."""
+def scored(docs: DataFrame, model: Model, grams: DataFrame, doc_id: str = "doc_id", text: str = "text", learned: bool = False) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``.
+
+    ``learned`` says that the counts hold all rows of ``docs`` that are not held out.
+    """
     spark = docs.sparkSession
     ship(spark)
     held = spark.sparkContext.broadcast(model)
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out(F.col(doc_id)).alias("held_out"), text_of(text).alias("text"))
-    rows = materialize(given.mapInArrow(_scored(held), _SCORED).withColumn("mark", F.monotonically_increasing_id()))
+    rows = materialize(given.mapInArrow(_scored(held, learned), _SCORED).withColumn("mark", F.monotonically_increasing_id()))
     rare = rows.select("mark", F.explode(F.arrays_zip("rare_keys", "rare_counts")).alias("r"))
     rare = rare.select("mark", F.col("r.rare_keys").alias("key"), F.col("r.rare_counts").alias("times"))
     counts = grams.where("size = 1").select(F.col("key").alias("__key"), "n")
@@ -397,7 +421,7 @@ def scored(docs: DataFrame, model: Model, grams: DataFrame, doc_id: str = "doc_i
     log = F.log10(F.coalesce("n", F.lit(0)).cast("double") + F.lit(FLOOR))
     known = F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)
     sums = joined.groupBy(F.col("mark").alias("__mark")).agg(F.sum(known).alias("n_rare"), F.sum(F.col("times") * log).alias("base_rare"))
-    whole = rows.drop("rare_keys", "rare_counts", "doubt").join(sums, F.col("mark") == F.col("__mark"), "left")
+    whole = rows.select("doc_id", "held_out", "n_tokens", "n_common", "base_common", "score", "mark").join(sums, F.col("mark") == F.col("__mark"), "left")
     if model.least > 1:
         whole = whole.join(_scored_apart(rows, grams, model.mass), F.col("mark") == F.col("__apart"), "left")
         whole = whole.withColumn("score", F.col("score") + F.coalesce("apart", F.lit(0.0)))
@@ -413,40 +437,73 @@ def scored(docs: DataFrame, model: Model, grams: DataFrame, doc_id: str = "doc_i
     )
 
 
+def _low(counts: np.ndarray) -> np.ndarray:
+    levels = level_of(counts)
+    return np.where(levels > 0, LEVELS[np.maximum(levels, 1) - 1], 0)
+
+
+def _high(counts: np.ndarray) -> np.ndarray:
+    levels = level_of(counts)
+    return np.where(levels > 0, LEVELS[levels] - 1, 0)
+
+
 def _apart(mass: float):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            given = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in batch.schema.names}
-            level = lambda name: level_of(given[name])
-            lows = lambda levels: np.where(levels > 0, LEVELS[np.maximum(levels, 1) - 1], 0)
-            highs = lambda levels: np.where(levels > 0, LEVELS[levels] - 1, 0)
-            low = np.where(given["low"] < 0, lows(level("n_word")), given["low"])
-            top = np.where(given["top"] < 0, highs(level("n_word")), given["top"])
-            high = np.where(given["high"] < 0, highs(level("n_before")), given["high"])
-            seen = np.where(given["seen"] < 0, lows(level("n_pair")), given["seen"])
-            seen = np.minimum(seen, np.minimum(top, high))
+            low, top, high, n = (batch.column(name).to_numpy() for name in ("low", "top", "high", "n"))
+            seen = np.minimum(_low(n), np.minimum(top, high))
             chance = (seen + PRIOR * (low + FLOOR) / mass) / (high + PRIOR)
             yield pa.RecordBatch.from_arrays([batch.column("mark"), pa.array(np.log10(chance))], names=["mark", "part"])
 
     return score
 
 
+def _with_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        given = {name: batch.column(name).to_numpy() for name in ("low", "top", "high", "n_word", "n_before")}
+        # -1 stands for a word whose count was left out
+        low = np.where(given["low"] < 0, _low(given["n_word"]), given["low"])
+        top = np.where(given["top"] < 0, _high(given["n_word"]), given["top"])
+        high = np.where(given["high"] < 0, _high(given["n_before"]), given["high"])
+        columns = [batch.column("mark"), batch.column("pair"), pa.array(low), pa.array(top), pa.array(high)]
+        yield pa.RecordBatch.from_arrays(columns, names=["mark", "pair", "low", "top", "high"])
+
+
+_ASKED = "mark long, pair long, low long, top long, high long"
+
+
 def _scored_apart(rows: DataFrame, grams: DataFrame, mass: float) -> DataFrame:
     """``__apart, apart``: per row the log-probability of its tokens that meet n-grams left out of the filter."""
-    tokens = rows.select("mark", F.posexplode("doubt").alias("at", "d")).select("mark", "at", "d.*")
-    carried = ["mark", "at", "low", "top", "high", "seen"]
+    parts = []
+    with shuffles_removed(rows.sparkSession):
+        for turn in range(ROUNDS):
+            asked = rows.select("mark", F.explode(f"pairs_{turn}").alias("d")).select("mark", "d.*")
+            asked = asked.unionByName(_words_looked_up(rows, f"words_{turn}", grams))
+            counts = grams.where((F.col("size") == 2) & (F.col("share") == turn)).select("key", "n")
+            exact = asked.join(counts, F.col("pair") == F.col("key"), "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+            scores = exact.select("mark", "low", "top", "high", "n").mapInArrow(_apart(mass), "mark long, part double")
+            parts.append(materialize(scores.groupBy("mark").agg(F.sum("part").alias("part"))))
+    whole = parts[0]
+    for more in parts[1:]:
+        whole = whole.unionByName(more)
+    return whole.groupBy(F.col("mark").alias("__apart")).agg(F.sum("part").alias("apart"))
+
+
+def _words_looked_up(rows: DataFrame, column: str, grams: DataFrame) -> DataFrame:
+    """``mark, pair, low, top, high`` of the tokens whose word, or the one before, was left out, by the words' exact counts."""
+    tokens = rows.select("mark", F.posexplode(column).alias("at", "d")).select("mark", "at", "d.*")
+    carried = ["pair", "low", "top", "high"]
     asked = [
-        tokens.where(F.col(flag) < 0).select(*carried, F.lit(what).alias("what"), F.lit(size).cast("tinyint").alias("size"), F.col(key).alias("key"))
-        for what, size, key, flag in (("word", 1, "word", "low"), ("before", 1, "before", "high"), ("pair", 2, "pair", "seen"))
-    ]
-    asked = asked[0].unionByName(asked[1]).unionByName(asked[2])
-    # a token's own values travel with each of its left-out n-grams, so no join back to the tokens is needed
-    exact = asked.join(grams, ["size", "key"], "left").groupBy("mark", "at").agg(
-        *(F.first(c).alias(c) for c in ("low", "top", "high", "seen")),
-        *(F.coalesce(F.max(F.when(F.col("what") == what, F.col("n"))), F.lit(0).cast("long")).alias(f"n_{what}") for what in ("word", "before", "pair")),
+        tokens.where(F.col(what).isNotNull()).select("mark", "at", *carried, F.lit(what).alias("what"), F.col(what).alias("asked"))
+        for what in ("word", "before")
+    ]
+    # a token's own values travel with each of its left-out words, so no join back to the tokens is needed
+    counts = grams.where("size = 1").select("key", "n")
+    found = asked[0].unionByName(asked[1]).join(counts, F.col("asked") == F.col("key"), "left").groupBy("mark", "at").agg(
+        *(F.coalesce(F.first(c), F.lit(-1).cast("long")).alias(c) for c in carried),
+        *(F.coalesce(F.max(F.when(F.col("what") == what, F.col("n"))), F.lit(0).cast("long")).alias(f"n_{what}") for what in ("word", "before")),
     )
-    parts = exact.mapInArrow(_apart(mass), "mark long, part double")
-    return parts.groupBy(F.col("mark").alias("__apart")).agg(F.sum("part").alias("apart"))
+    return found.mapInArrow(_with_words, _ASKED)
 
 
 def lm_scores(
@@ -455,4 +512,4 @@ def lm_scores(
     """Scores of all rows under the model of the rows that are not held out."""
     training = docs.where(~held_out(F.col(doc_id))).select(text_of(text).alias("text"))
     grams = by_size(counted_grams(training))
-    return scored(docs, fitted(grams, filter_bits, frequent), grams, doc_id, text)
+    return scored(docs, fitted(grams, filter_bits, frequent), grams, doc_id, text, learned=True)
